@@ -22,7 +22,7 @@ def _value(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return 0.0 if v == 0 else float(f"{v:.12g}")
+        return 0.0 if v == 0 else v
     return v
 
 

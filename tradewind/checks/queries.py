@@ -13,7 +13,7 @@ from tradewind.operators.dedupe import dedupe_latest, duplicate_keys
 from tradewind.operators.upsert import upsert_table
 from tradewind.plans.bronze import channel_rows
 from tradewind.sinks import ensure_table, publish, shared_dir
-from tradewind.sources import load_table, stamp
+from tradewind.sources import stamp
 from tradewind.streaming import stream_append, stream_pos
 
 TOP = 20
@@ -237,19 +237,22 @@ def contract_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.file_verdicts(T.order_documents(spark, sf_dir))
 
 
+def _routes(judged: DataFrame) -> DataFrame:
+    route = F.when(F.col("passed"), "clean").otherwise("quarantined")
+    return judged.select("doc", route.alias("route"))
+
+
 def route_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean, quarantined = contract.route_files(
-        T.order_documents(spark, sf_dir), one_document_per_file=False
-    )
-    return clean.select("doc", F.lit("clean").alias("route")).unionByName(
-        quarantined.select("doc", F.lit("quarantined").alias("route"))
-    )
+    documents = T.order_documents(spark, sf_dir)
+    return _routes(contract.with_verdict(documents, one_document_per_file=False))
 
 
 def route_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean, quarantined = contract.route_files(T.order_documents(spark, sf_dir))
-    return clean.select("doc", F.lit("clean").alias("route")).unionByName(
-        quarantined.select("doc", F.lit("quarantined").alias("route"))
+    return _routes(
+        clean.withColumn("passed", F.lit(True)).unionByName(
+            quarantined.withColumn("passed", F.lit(False))
+        )
     )
 
 
@@ -258,9 +261,9 @@ def route_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as POS messages through the streaming ingest, read back from its table."""
-    path = f"{sf_dir}/events.parquet"
-    schema = load_table(spark, path).schema
-    events = stream_pos(spark, "parquet", schema=schema, path=path)
+    schema = T.table(spark, sf_dir, "events").schema
+    # a pattern, as a stream reads directories; it fits one file and a directory of files
+    events = stream_pos(spark, "parquet", schema=schema, path=f"{sf_dir}/events.parquet*")
     rows = channel_rows("pos", T.event_messages(events))
     root = shared_dir(spark, "stream_append_events")
     query = stream_append(

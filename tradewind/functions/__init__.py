@@ -3,6 +3,7 @@
 from tradewind.functions.columns import (
     cents,
     day_text,
+    from_cents,
     item_key,
     money_avg,
     money_sum,
@@ -16,6 +17,7 @@ __all__ = [
     "cents",
     "day_text",
     "decode_json",
+    "from_cents",
     "item_key",
     "money_avg",
     "money_sum",

@@ -39,9 +39,14 @@ def cents(c: "str | Column") -> Column:
     return F.rint(_col(c) * CENTS_PER_UNIT).cast("bigint")
 
 
+def from_cents(c: "str | Column") -> Column:
+    """Whole cents as an amount."""
+    return _col(c) / F.lit(float(CENTS_PER_UNIT))
+
+
 def money_sum(c: "str | Column") -> Column:
     """Exact sum of an amount, as a double; null if every amount is null."""
-    return F.sum(cents(c)) / F.lit(float(CENTS_PER_UNIT))
+    return from_cents(F.sum(cents(c)))
 
 
 def money_avg(c: "str | Column") -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind import schemas as S
-from tradewind.functions import cents, item_key, money_sum, number, timestamp, whole
+from tradewind.functions import cents, from_cents, item_key, money_sum, number, timestamp, whole
 from tradewind.operators.dedupe import dedupe_latest
 
 BRONZE_KEYS = {
@@ -132,7 +132,7 @@ def distributor_orders(df: DataFrame) -> DataFrame:
         first_of("PaymentStatus").alias("payment_status"),
         money_sum("TaxAmount").alias("tax_amount"),
         money_sum("TotalAmount").alias("total_amount"),
-        ((F.sum(cents("TotalAmount")) - F.sum(cents("TaxAmount"))) / F.lit(100.0)).alias(
+        from_cents(F.sum(cents("TotalAmount")) - F.sum(cents("TaxAmount"))).alias(
             "subtotal_amount"
         ),
     )
@@ -213,8 +213,8 @@ def amazon_orders(df: DataFrame) -> DataFrame:
         total = F.aggregate(
             amounts,
             F.lit(0).cast("bigint"),
-            lambda acc, amount: acc + F.rint(amount * 100).cast("bigint"),
-            lambda acc: acc / F.lit(100.0),
+            lambda acc, amount: acc + cents(amount),
+            from_cents,
         )
         return F.when(F.size(amounts) > 0, total)
 

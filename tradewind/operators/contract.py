@@ -38,100 +38,103 @@ SHOPIFY_CONTRACT = (
     Field("sourceName", STRING, True),
 )
 
-_TYPE_TEST = {
-    STRING: lambda t: t == "STRING",
-    OBJECT: lambda t: t.startswith("OBJECT"),
-    ARRAY: lambda t: t.startswith("ARRAY"),
+def _get(edge: Column, field: str, kind: str = "variant") -> Column:
+    """A field of the record in an edge. The path starts at the edge, so no record is copied."""
+    return F.try_variant_get(edge, f"$['node']['{field}']", kind)
+
+
+def _has_type(edge: Column, field: Field) -> Column:
+    """True if the field is there with its type; otherwise false or null."""
+    if field.type == OBJECT:
+        return _get(edge, field.name, "struct<>").isNotNull()
+    if field.type == ARRAY:
+        return _get(edge, field.name, "array<variant>").isNotNull()
+    kind = F.schema_of_variant(_get(edge, field.name))
+    if field.type == STRING:
+        return kind == "STRING"
     # a JSON boolean passes as a number
-    NUMBER: lambda t: t.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | t.startswith("DECIMAL"),
-}
-
-
-def _problem(node: Column, field: Field) -> Column:
-    """The first problem of a field, or null. ``node`` is a map of field name to VARIANT."""
-    value = node[field.name]
-    kind = F.schema_of_variant(value)
-    absent = F.lit("missing") if field.required else F.lit(None).cast("string")
-    null = F.lit("null") if field.required else F.lit(None).cast("string")
-    rule = (
-        F.when(value.isNull(), absent)
-        .when(F.is_variant_null(value), null)
-        .when(~_TYPE_TEST[field.type](kind), F.lit("type"))
-    )
-    if field.type == STRING and field.pattern:
-        text = F.try_variant_get(value, "$", "string")
-        rule = rule.when(~text.rlike(f"^(?:{field.pattern})"), F.lit("pattern"))
-    return F.when(rule.isNotNull(), F.concat(F.lit(f"{field.name}: "), rule))
+    return kind.rlike("^(BIGINT|DOUBLE|FLOAT|BOOLEAN|DECIMAL.*)$")
 
 
-def contract_errors(node: Column, contract=SHOPIFY_CONTRACT) -> Column:
-    """All errors of one record, in contract order; ``node`` is a map<string, variant>."""
-    return F.array_compact(F.array(*(_problem(node, field) for field in contract)))
+def _problem(edge: Column, field: Field) -> Column:
+    """The first problem of a field, or null. A sound field costs one look at its value."""
+    value = _get(edge, field.name)
+    sound = F.lit(None).cast("string")
+    if field.pattern and field.type == STRING:
+        matches = _get(edge, field.name, "string").rlike(f"^(?:{field.pattern})")
+        sound = F.when(~matches, F.lit(f"{field.name}: pattern"))
+    missing, null = (f"{field.name}: {p}" if field.required else None for p in ("missing", "null"))
+    return (
+        F.when(_has_type(edge, field), sound)
+        .when(value.isNull(), F.lit(missing))
+        .when(F.is_variant_null(value), F.lit(null))
+        .otherwise(F.lit(f"{field.name}: type"))
+    )
 
 
-def _record(edge: Column) -> Column:
-    """The record of an edge: its ``node``, or an empty record if it has none.
+def contract_errors(edge: Column, contract=SHOPIFY_CONTRACT) -> Column:
+    """All errors of the record in an edge, in contract order.
 
-    Null if the edge or its node is not an object.
+    An edge without ``node`` holds an empty record. An edge or a node that is no object is one
+    error.
     """
-    entry = F.try_variant_get(edge, "$", "map<string,variant>")
-    node = entry["node"]
-    empty = F.create_map().cast("map<string,variant>")
-    return F.when(entry.isNotNull() & node.isNull(), empty).otherwise(
-        F.try_variant_get(node, "$", "map<string,variant>")
-    )
+    is_edge = F.try_variant_get(edge, "$", "struct<>").isNotNull()
+    has_record = F.try_variant_get(edge, "$['node']", "struct<>").isNotNull()
+    no_record = is_edge & F.try_variant_get(edge, "$['node']", "variant").isNull()
+    return F.when(
+        has_record | no_record,
+        F.array_compact(F.array(*(_problem(edge, field) for field in contract))),
+    ).otherwise(F.array(F.lit("node: type")))
+
+
+def _edges(document: Column) -> Column:
+    return F.try_variant_get(document, ENVELOPE, "array<variant>")
 
 
 def check_documents(documents: DataFrame, contract=SHOPIFY_CONTRACT) -> DataFrame:
-    """Add to each document of ``file``, ``text``: ``envelope_error`` and ``record_errors``.
+    """Add to each document of ``file``, ``text``: ``n_records`` and ``errors``.
 
-    ``envelope_error`` is null, ``invalid json`` or ``no envelope``. ``record_errors`` holds
-    the error list of every record.
+    ``errors`` lists (record, error) pairs. ``record`` is the position in the document, or null
+    for an error of the document itself: ``invalid json`` or ``no envelope``.
     """
-    parsed = F.try_parse_json("text")
-    edges = F.try_variant_get(F.col("_doc"), ENVELOPE, "array<variant>")
 
-    def errors(record: Column) -> Column:
-        return F.when(record.isNull(), F.array(F.lit("node: type"))).otherwise(
-            contract_errors(record, contract)
-        )
+    def listed(position: Column, error: Column) -> Column:
+        return F.struct(position.cast("int").alias("record"), error.alias("error"))
 
+    def of_edge(edge: Column, position: Column) -> Column:
+        return F.transform(contract_errors(edge, contract), lambda e: listed(position, e))
+
+    def of_document(error: str) -> Column:
+        return F.array(listed(F.lit(None), F.lit(error)))
+
+    parsed = documents.withColumn("_doc", F.try_parse_json("text"))
     return (
-        documents.withColumn("_doc", parsed)
-        .withColumn("_edges", edges)
-        .withColumn(
-            "envelope_error",
-            F.when(F.col("_doc").isNull(), "invalid json").when(
-                F.col("_edges").isNull(), "no envelope"
-            ),
+        parsed.withColumn("_edges", _edges(F.col("_doc")))
+        .withColumns(
+            {
+                "n_records": F.coalesce(F.size("_edges"), F.lit(0)),
+                "errors": F.when(F.col("_doc").isNull(), of_document("invalid json"))
+                .when(F.col("_edges").isNull(), of_document("no envelope"))
+                .otherwise(F.flatten(F.transform("_edges", of_edge))),
+            }
         )
-        .withColumn("record_errors", F.transform(F.transform("_edges", _record), errors))
         .drop("_doc", "_edges")
     )
 
 
-def contract_report(documents: DataFrame, contract=SHOPIFY_CONTRACT) -> DataFrame:
-    """One row per error: file, record position (null for the envelope), message."""
-    checked = check_documents(documents, contract)
-    whole = checked.filter(F.col("envelope_error").isNotNull()).select(
-        "file", F.lit(None).cast("int").alias("record"), F.col("envelope_error").alias("error")
-    )
-    records = (
-        checked.select("file", F.posexplode("record_errors").alias("record", "errors"))
-        .filter(F.size("errors") > 0)
-        .select("file", "record", F.explode("errors").alias("error"))
+def document_passes(text: "str | Column", contract=SHOPIFY_CONTRACT) -> Column:
+    """True if a document has its envelope and no record breaks the contract."""
+    clean = F.forall(
+        _edges(F.try_parse_json(text)), lambda edge: F.size(contract_errors(edge, contract)) == 0
     )
-    return whole.unionByName(records)
+    return F.coalesce(clean, F.lit(False))
 
 
-def _document_counts(checked: DataFrame) -> DataFrame:
-    return checked.withColumns(
-        {
-            "n_records": F.coalesce(F.size("record_errors"), F.lit(0)),
-            "n_errors": F.coalesce(F.size(F.flatten("record_errors")), F.lit(0))
-            + F.when(F.col("envelope_error").isNotNull(), 1).otherwise(0),
-        }
-    )
+def contract_report(documents: DataFrame, contract=SHOPIFY_CONTRACT) -> DataFrame:
+    """One row per error: file, record position (null for the document), message."""
+    # the outer form, as Spark guards the plain one with a filter that would run every check twice
+    errors = check_documents(documents, contract).select("file", F.inline_outer("errors"))
+    return errors.filter(F.col("error").isNotNull())
 
 
 def file_verdicts(documents: DataFrame, contract=SHOPIFY_CONTRACT) -> DataFrame:
@@ -140,41 +143,44 @@ def file_verdicts(documents: DataFrame, contract=SHOPIFY_CONTRACT) -> DataFrame:
     One error fails the whole file; a file without records passes.
     """
     return (
-        _document_counts(check_documents(documents, contract))
+        check_documents(documents, contract)
         .groupBy("file")
         .agg(
             F.count(F.lit(1)).alias("n_documents"),
             F.sum("n_records").alias("n_records"),
-            F.sum("n_errors").alias("n_errors"),
+            F.sum(F.size("errors")).alias("n_errors"),
         )
         .withColumn("passed", F.col("n_errors") == 0)
     )
 
 
-def route_files(
+def with_verdict(
     documents: DataFrame, contract=SHOPIFY_CONTRACT, one_document_per_file: bool = True
-) -> "tuple[DataFrame, DataFrame]":
-    """Split documents into (clean, quarantined) by the verdict on their file.
+) -> DataFrame:
+    """Add ``passed``: whether the document's file keeps the contract.
 
-    With one document per file the verdict is in the row and no join is needed. Otherwise the
-    failed files are joined back by name; Spark broadcasts that list if it is small.
+    With one document per file the verdict is in the row and nothing is shuffled. Otherwise the
+    names of the failed files are joined back. Spark broadcasts them if they are few, and AQE
+    can split a file that holds most of the documents.
     """
     if one_document_per_file:
-        routed = _document_counts(check_documents(documents, contract))
-        drop = ["envelope_error", "record_errors", "n_records", "n_errors"]
-        return (
-            routed.filter("n_errors = 0").drop(*drop),
-            routed.filter("n_errors > 0").drop(*drop),
-        )
-    failed = file_verdicts(documents, contract).filter("not passed").select("file")
-    return documents.join(failed, "file", "left_anti"), documents.join(failed, "file", "left_semi")
-
-
-def document_passes(text: "str | Column", contract=SHOPIFY_CONTRACT) -> Column:
-    """True if a document has its envelope and no record breaks the contract."""
-    edges = F.try_variant_get(F.try_parse_json(text), ENVELOPE, "array<variant>")
+        return documents.withColumn("passed", document_passes("text", contract))
+    failed = (
+        documents.filter(~document_passes("text", contract))
+        .select("file")
+        .distinct()
+        .withColumn("_failed", F.lit(True))
+    )
+    return (
+        documents.join(failed, "file", "left")
+        .withColumn("passed", F.col("_failed").isNull())
+        .drop("_failed")
+    )
 
-    def clean(record: Column) -> Column:
-        return record.isNotNull() & (F.size(contract_errors(record, contract)) == 0)
 
-    return F.coalesce(F.forall(F.transform(edges, _record), clean), F.lit(False))
+def route_files(
+    documents: DataFrame, contract=SHOPIFY_CONTRACT, one_document_per_file: bool = True
+) -> "tuple[DataFrame, DataFrame]":
+    """Split documents into (clean, quarantined) by the verdict on their file."""
+    judged = with_verdict(documents, contract, one_document_per_file)
+    return judged.filter("passed").drop("passed"), judged.filter("not passed").drop("passed")

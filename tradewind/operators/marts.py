@@ -6,7 +6,7 @@ Group keys are dates, not formatted text; the text is made once per group afterw
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions import day_text, money_avg, money_sum
+from tradewind.functions import cents, day_text, from_cents, money_avg, money_sum
 
 
 def daily_revenue_channel(orders: DataFrame) -> DataFrame:
@@ -34,16 +34,21 @@ def inventory_turnover(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Units and item sales by day and SKU; the title is the least one the group shows.
 
     Revenue is the item amount, not the order total the join also brings into reach.
+
+    Grouping by the title first keeps the heavy pass in the hash aggregate, which cannot hold a
+    minimum over text. The second pass only sees the few titles of each day and SKU.
     """
     dated = items.select("order_id", "sku", "title", "quantity", "total_amount").join(
         orders.select("order_id", F.to_date("created_at").alias("day")), "order_id"
     )
     return (
-        dated.groupBy("day", "sku")
+        dated.groupBy("day", "sku", "title")
+        .agg(F.sum("quantity").alias("units"), F.sum(cents("total_amount")).alias("cents"))
+        .groupBy("day", "sku")
         .agg(
             F.min("title").alias("product_title"),
-            F.sum("quantity").alias("units_sold"),
-            money_sum("total_amount").alias("total_sales_amount"),
+            F.sum("units").alias("units_sold"),
+            from_cents(F.sum("cents")).alias("total_sales_amount"),
         )
         .select(
             day_text("day").alias("sales_date"),
