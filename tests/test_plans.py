@@ -69,9 +69,10 @@ def test_a_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert merged.count() == 1000
 
 
-def test_a_hot_order_is_split(spark):
+def test_a_hot_order_is_split(spark, tmp_path):
     """One order holds a third of the items: AQE splits its join partition."""
     conf = {
+        "spark.sql.shuffle.partitions": "64",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
@@ -90,10 +91,10 @@ def test_a_hot_order_is_split(spark):
             F.lit(1).alias("quantity"),
             F.lit(1.25).alias("total_amount"),
         )
-        orders = items.select("order_id").distinct().withColumn(
+        items.select("order_id").distinct().withColumn(
             "created_at", F.lit("2026-01-01").cast("timestamp")
-        )
-        mart = inventory_turnover(items, orders)
+        ).write.parquet(str(tmp_path / "orders"))
+        mart = inventory_turnover(items, spark.read.parquet(str(tmp_path / "orders")))
         rows = mart.collect()
         assert "SortMergeJoin(skew=true)" in plan(mart)
         assert sum(r["units_sold"] for r in rows) == n and len(rows) == 50
