@@ -8,7 +8,7 @@ from tradewind import schemas as S
 from tradewind.operators import features as FE
 from tradewind.operators.quality import ORDER_RULES, QualityGateError
 from tradewind.plans import ingest_batch, materialize_features, refresh_gold, refresh_silver
-from tradewind.sinks import ensure_table, merge_statement, publish, retire, shared_dir
+from tradewind.sinks import ensure_table, merge_statement, publish, retire, shared_dir, upsert_into
 from tradewind.sources import feature_source, is_available, load_table, register_view, stamp
 
 
@@ -65,6 +65,14 @@ def test_merge_statement_is_valid_sql(spark):
     assert "MERGE" in str(e.value) and "PARSE" not in str(e.value)
 
 
+def test_native_merge_gates_the_batch_first(spark):
+    ensure_table(spark, "silver.orders_plain", S.SILVER_ORDERS, ("channel",), using="parquet")
+    assert spark.table("silver.orders_plain").schema.fieldNames()[-1] == "channel"
+    bad = orders(spark, dict(GOOD, channel="fax"))
+    with pytest.raises(QualityGateError):
+        upsert_into("silver.orders", bad, "1", S.SILVER_ORDERS, ORDER_RULES, native_merge=True)
+
+
 def test_shared_dir(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark, "x").startswith(root + "/x-")

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from tradewind.checks.queries import QUERIES
 from tradewind.operators.contract import with_verdict
 from tradewind.operators.dedupe import dedupe_latest
+from tradewind.operators.features import lookup_features
 from tradewind.operators.marts import inventory_turnover
+from tradewind.operators.quality import UNIQUE, Rule, violations
 from tradewind.operators.upsert import upsert
+from tradewind.plans.silver import touched_rows
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -69,39 +72,109 @@ def test_a_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert merged.count() == 1000
 
 
-def test_a_hot_order_is_split(spark, tmp_path):
-    """One order holds a third of the items: AQE splits its join partition."""
-    conf = {
-        "spark.sql.shuffle.partitions": "64",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
-    }
-    before = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
+SKEW = {
+    "spark.sql.shuffle.partitions": "64",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+}
+N = 60000
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Large-data behaviour at test size: no broadcast, and splits from a few kB on."""
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
         spark.conf.set(k, v)
-    try:
-        n = 60000
-        items = spark.range(0, n, 1, 8).select(
-            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("order_id"),
-            F.sha2((F.col("id") % 50).cast("string"), 256).alias("sku"),
-            F.sha2((F.col("id") % 50).cast("string"), 256).alias("title"),
-            F.lit(1).alias("quantity"),
-            F.lit(1.25).alias("total_amount"),
-        )
-        items.select("order_id").distinct().withColumn(
-            "created_at", F.lit("2026-01-01").cast("timestamp")
-        ).write.parquet(str(tmp_path / "orders"))
-        mart = inventory_turnover(items, spark.read.parquet(str(tmp_path / "orders")))
-        rows = mart.collect()
-        assert "SortMergeJoin(skew=true)" in plan(mart)
-        assert sum(r["units_sold"] for r in rows) == n and len(rows) == 50
-        assert sum(r["total_sales_amount"] for r in rows) == n * 1.25
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_rows(spark, path, name):
+    """Rows of which every third has the key ``hot``; the others have a key of their own."""
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    spark.range(0, N, 1, 8).select(
+        key.alias(name),
+        "id",
+        F.sha2((F.col("id") % 50).cast("string"), 256).alias("sku"),
+        F.sha2((F.col("id") % 5000).cast("string"), 256).alias("title"),
+        F.lit(1).alias("quantity"),
+        F.lit(1.25).alias("total_amount"),
+    ).write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def splits(df) -> bool:
+    return "SortMergeJoin(skew=true)" in plan(df)
+
+
+def test_a_hot_order_is_split(spark, tmp_path, no_broadcast):
+    items = hot_rows(spark, tmp_path / "items", "order_id")
+    items.select("order_id").distinct().withColumn(
+        "created_at", F.lit("2026-01-01").cast("timestamp")
+    ).write.parquet(str(tmp_path / "orders"))
+    mart = inventory_turnover(items, spark.read.parquet(str(tmp_path / "orders")))
+    rows = mart.collect()
+    assert splits(mart) and len(rows) == 50
+    assert sum(r["units_sold"] for r in rows) == N
+    assert sum(r["total_sales_amount"] for r in rows) == N * 1.25
+
+
+def test_a_hot_duplicate_is_split(spark, tmp_path, no_broadcast):
+    rows = hot_rows(spark, tmp_path / "t", "k")
+    broken = violations(rows, (Rule(UNIQUE, "k"),))
+    assert len(broken.collect()) == N // 3 and splits(broken)
+
+
+def test_a_hot_file_is_split(spark, tmp_path, no_broadcast):
+    rows = hot_rows(spark, tmp_path / "t", "file")
+    text = F.when(F.col("file") == "hot", "{broken").otherwise('{"data":{"orders":{"edges":[]}}}')
+    judged = with_verdict(
+        rows.select("file", text.alias("text"), "title"), one_document_per_file=False
+    )
+    got = judged.collect()
+    assert sum(r["passed"] for r in got) == N - N // 3 and len(got) == N and splits(judged)
+
+
+def test_a_hot_request_is_split(spark, tmp_path, no_broadcast):
+    requests = hot_rows(spark, tmp_path / "t", "customer_id")
+    requests.select("customer_id").distinct().withColumn("v", F.lit(7)).write.parquet(
+        str(tmp_path / "online")
+    )
+    online = spark.read.parquet(str(tmp_path / "online"))
+    found = lookup_features(requests, online, ["customer_id"], ["v"])
+    got = found.collect()
+    assert len(got) == N and all(r["v"] == 7 for r in got) and splits(found)
+
+
+def test_a_hot_invoice_is_split(spark, tmp_path, no_broadcast):
+    rows = hot_rows(spark, tmp_path / "t", "InvoiceNumber").withColumn(
+        "TransactionID", F.col("id").cast("string")
+    )
+    touched = touched_rows("distributor", rows, rows.filter("id = 0 or id = 1"))
+    assert len(touched.collect()) == N // 3 + 1 and splits(touched)
+
+
+def test_a_hot_target_key_is_split(spark, tmp_path, no_broadcast):
+    target = hot_rows(spark, tmp_path / "t", "k")
+    target.select("k").distinct().select(
+        "k",
+        F.lit(0).cast("bigint").alias("id"),
+        *(F.lit("new").alias(c) for c in ("sku", "title")),
+        F.lit(2).alias("quantity"),
+        F.lit(2.0).alias("total_amount"),
+    ).write.parquet(str(tmp_path / "s"))
+    merged = upsert(target, spark.read.parquet(str(tmp_path / "s")), ["k"], unique_source=True)
+    got = merged.collect()
+    assert len(got) == N and all(r["quantity"] == 2 for r in got) and splits(merged)
+
+
+def test_a_hot_key_sends_one_row_per_task(spark, tmp_path):
+    rows = hot_rows(spark, tmp_path / "t", "k")
+    latest = dedupe_latest(rows, ["k"], ["id"])
+    got = {r["k"]: r["id"] for r in latest.collect()}
+    assert len(got) == N - N // 3 + 1 and got["hot"] == N - 3

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.operators.joins import split_join
+
 STRING, OBJECT, NUMBER, ARRAY = "string", "object", "number", "array"
 ENVELOPE = "$.data.orders.edges"
 
@@ -160,8 +162,7 @@ def with_verdict(
     """Add ``passed``: whether the document's file keeps the contract.
 
     With one document per file the verdict is in the row and nothing is shuffled. Otherwise the
-    names of the failed files are joined back. Spark broadcasts them if they are few, and AQE
-    can split a file that holds most of the documents.
+    names of the failed files are joined back; Spark broadcasts them if they are few.
     """
     if one_document_per_file:
         return documents.withColumn("passed", document_passes("text", contract))
@@ -171,11 +172,8 @@ def with_verdict(
         .distinct()
         .withColumn("_failed", F.lit(True))
     )
-    return (
-        documents.join(failed, "file", "left")
-        .withColumn("passed", F.col("_failed").isNull())
-        .drop("_failed")
-    )
+    judged = split_join(documents, failed, ["file"], "left")
+    return judged.withColumn("passed", F.col("_failed").isNull()).drop("_failed")
 
 
 def route_files(

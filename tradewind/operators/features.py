@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import money_sum
 from tradewind.operators.dedupe import dedupe_latest
+from tradewind.operators.joins import split_join
 
 EVENT, CREATED = "event_timestamp", "created_timestamp"
 
@@ -87,4 +88,4 @@ def lookup_features(
     """
     wanted = requests.select(*keys).distinct()
     hits = online.select(*keys, *features).join(wanted, list(keys), "left_semi")
-    return requests.join(hits, list(keys), "left")
+    return split_join(requests, hits, keys, "left")

@@ -40,7 +40,7 @@ def _routed(
     ).select(
         "_file",
         F.explode_outer(F.when(F.col("_ok"), F.col("_records"))).alias("_record"),
-        F.when(~F.col("_ok"), F.col("text")).alias("_text"),
+        F.when(~F.col("_ok"), F.coalesce("text", F.lit(""))).alias("_text"),
     )
     # an accepted document without records leaves no row
     rows = rows.filter(F.col("_record").isNotNull() | F.col("_text").isNotNull())
@@ -123,11 +123,14 @@ def ingest_stream(
     archive: "str | None" = None,
     trigger: "dict | None" = None,
     kafka: "dict | None" = None,
+    files_per_trigger: "int | None" = None,
 ):
     """Load every new file, or Kafka message, of a channel once; returns the running query.
 
     ``trigger={"availableNow": True}`` is the scheduled form, the default the continuous one.
-    With ``kafka`` options the POS topic is read instead of the landing directory.
+    With ``kafka`` options the POS topic is read instead of the landing directory. A backlog
+    is worked off in steps with ``files_per_trigger`` or the Kafka option maxOffsetsPerTrigger;
+    both only size the steps.
     """
     if kafka is not None:
         raw = stream_pos(spark, options=kafka)
@@ -140,9 +143,10 @@ def ingest_stream(
             "*.csv",
             archive,
             {"header": True, "enforceSchema": False},
+            files_per_trigger,
         )
     else:
-        raw = stream_documents(spark, landing, archive)
+        raw = stream_documents(spark, landing, archive, files_per_trigger)
     return stream_append(channel_rows(channel, raw), path, checkpoint, trigger, PARTITIONS)
 
 

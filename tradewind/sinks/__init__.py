@@ -6,6 +6,7 @@ from tradewind.sinks.lake import (
     merge_table,
     publish,
     retire,
+    upsert_into,
     write_snapshot,
 )
 from tradewind.sinks.shared import shared_dir
@@ -19,5 +20,6 @@ __all__ = [
     "publish",
     "retire",
     "shared_dir",
+    "upsert_into",
     "write_snapshot",
 ]

@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-# The POS topic. minPartitions lets one busy topic partition be read by several
-# tasks; override it with about the number of cores.
+# The POS topic.
 KAFKA_POS = {"subscribe": "pos-transactions", "startingOffsets": "earliest"}
 
 TRIGGER = {"processingTime": "10 seconds"}
@@ -25,8 +24,14 @@ def stream_pos(
     schema: "T.StructType | None" = None,
     path: "str | None" = None,
 ) -> DataFrame:
-    """POS messages with a ``value`` payload. Kafka by default; tests use a file format."""
-    defaults = KAFKA_POS if fmt == "kafka" else {}
+    """POS messages with a ``value`` payload. Kafka by default; tests use a file format.
+
+    Kafka offsets are spread over at least as many tasks as there are cores, so that one busy
+    topic partition is not one task.
+    """
+    defaults = {}
+    if fmt == "kafka":
+        defaults = {**KAFKA_POS, "minPartitions": spark.sparkContext.defaultParallelism}
     reader = spark.readStream.format(fmt).options(**{**defaults, **(options or {})})
     return (reader if schema is None else reader.schema(schema)).load(path)
 
