@@ -125,3 +125,9 @@ def test_one_bad_document_fails_its_whole_file(spark):
     clean, quarantined = C.route_files(documents, one_document_per_file=False)
     assert [r["file"] for r in clean.collect()] == ["b"]
     assert [r["file"] for r in quarantined.collect()] == ["a", "a"]
+
+
+def test_contract_from_a_definition():
+    definition = {"fields": [{"name": "id", "required": True}, {"name": "n", "type": "number"}]}
+    assert C.contract_from(definition) == (C.Field("id", C.STRING, True), C.Field("n", C.NUMBER))
+    assert C.contract_from({}) == ()

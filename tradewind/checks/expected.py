@@ -263,7 +263,7 @@ EVENT_FEATURES = """ef AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OV
     event_type DESC, "value" DESC) AS rn FROM (
         SELECT CAST(user_id AS VARCHAR) AS customer_id, event_type, "value",
         date_trunc('hour', ts)::TIMESTAMP AS event_timestamp, ts AS created_timestamp FROM events)
-    WHERE event_timestamp BETWEEN TIMESTAMP '2024-01-29 12:00:00' AND TIMESTAMP '2024-01-30')
+    WHERE event_timestamp BETWEEN TIMESTAMP '2023-10-27' AND TIMESTAMP '2024-01-25')
     WHERE rn = 1)"""
 
 _CRIT, _WARN = "critical", "warning"
@@ -436,6 +436,19 @@ EXPECTED = {
         """SELECT doc, CASE WHEN len(errors) = 0 THEN 'clean' ELSE 'quarantined' END AS route
         FROM bad""",
     ),
+    "recognised_documents": """SELECT CAST(o_orderkey AS VARCHAR) AS doc,
+        o_totalprice NOT BETWEEN 21000 AND 25999.99 AS recognised FROM orders""",
+    "ingest_documents": """SELECT
+        CASE WHEN good THEN CAST(o_orderkey AS VARCHAR) END AS id,
+        CASE WHEN good THEN '#' || o_orderkey END AS name,
+        CASE WHEN good THEN '2024-01-01T00:00:00Z' END AS createdAt,
+        CASE WHEN good THEN 'a.b@example.com' END AS email,
+        CASE WHEN good THEN 'web' END AS sourceName, CASE WHEN good THEN '1.00' END AS total,
+        CASE WHEN good THEN 0 END AS lines, NOT good AS is_dead,
+        'drop_' || strftime(o_orderdate, '%Y-%m-%d') AS _ingest_file_name,
+        CASE WHEN good THEN 'accepted' ELSE 'dead_letter' END AS route
+        FROM (SELECT *, o_totalprice >= 31000 AS good FROM orders
+            WHERE o_totalprice NOT BETWEEN 26000 AND 28499.99)""",
     "stream_append_events": """SELECT
         CASE WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR) END AS transaction_id,
         CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS store_id,

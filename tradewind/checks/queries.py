@@ -1,6 +1,6 @@
 """Registered queries. Each reads whole tables and returns one frame."""
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from tradewind.operators.dedupe import dedupe_latest, duplicate_keys
 from tradewind.operators.upsert import upsert_table
 from tradewind.plans.bronze import channel_rows
 from tradewind.sinks import ensure_table, publish, shared_dir
-from tradewind.sources import stamp
+from tradewind.sources import split_recognised, stamp
 from tradewind.streaming import stream_append, stream_pos
 
 TOP = 20
@@ -256,6 +256,26 @@ def route_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def recognised_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known, unknown = split_recognised(T.order_documents(spark, sf_dir), "data.orders")
+    return known.select("doc", F.lit(True).alias("recognised")).unionByName(
+        unknown.select("doc", F.lit(False).alias("recognised"))
+    )
+
+
+def ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents through the bronze step: typed orders, or dead letters."""
+    rows = channel_rows("shopify", T.order_documents(spark, sf_dir))
+    return rows.select(
+        "id", "name", "createdAt", "email", "sourceName",
+        F.col("totalPriceSet.presentmentMoney.amount").alias("total"),
+        F.size("lineItems.edges").alias("lines"),
+        F.col("dead_payload").isNotNull().alias("is_dead"),
+        "_ingest_file_name",
+        "route",
+    )
+
+
 # streaming
 
 
@@ -304,10 +324,8 @@ def publish_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # features
 
-EVENT_VIEW = features.FeatureView(
-    "event_features", ("customer_id",), ("event_type", "value"), ttl=timedelta(hours=12)
-)
-FEATURES_UNTIL = datetime(2024, 1, 30)
+EVENT_VIEW = features.FeatureView("event_features", ("customer_id",), ("event_type", "value"))
+FEATURES_UNTIL = datetime(2024, 1, 25)
 
 
 def _event_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,6 +409,8 @@ QUERIES = {
     "contract_verdicts": contract_verdicts,
     "route_files": route_files,
     "route_documents": route_documents,
+    "recognised_documents": recognised_documents,
+    "ingest_documents": ingest_documents,
     "stream_append_events": stream_append_events,
     "latest_features": latest_features,
     "lookup_features": lookup_features,

@@ -40,6 +40,14 @@ SHOPIFY_CONTRACT = (
     Field("sourceName", STRING, True),
 )
 
+def contract_from(definition: dict) -> tuple:
+    """A contract from its parsed definition file: a ``fields`` list of name, type, required, pattern."""
+    return tuple(
+        Field(f["name"], f.get("type", STRING), bool(f.get("required")), f.get("pattern"))
+        for f in definition.get("fields", ())
+    )
+
+
 def _get(edge: Column, field: str, kind: str = "variant") -> Column:
     """A field of the record in an edge. The path starts at the edge, so no record is copied."""
     return F.try_variant_get(edge, f"$['node']['{field}']", kind)
