@@ -131,3 +131,18 @@ def test_contract_from_a_definition():
     definition = {"fields": [{"name": "id", "required": True}, {"name": "n", "type": "number"}]}
     assert C.contract_from(definition) == (C.Field("id", C.STRING, True), C.Field("n", C.NUMBER))
     assert C.contract_from({}) == ()
+
+
+def test_a_document_beyond_the_variant_size(spark):
+    nodes = ",".join([json.dumps({"node": D.node("s")})] * 30000)
+    bad = json.dumps({"node": D.node("s", email="x")})
+    good = '{"data":{"orders":{"edges":[' + nodes + "]}}}"
+    assert len(good) > 16 * 1024 * 1024
+    documents = docs(spark, good, good[:-4] + "," + bad + "]}}}", good[:-3])
+    got = {r["file"]: r for r in C.file_verdicts(documents).collect()}
+    assert (got["f0"]["n_records"], got["f0"]["n_errors"]) == (30000, 0)
+    assert (got["f1"]["n_records"], got["f1"]["n_errors"]) == (30001, 1)
+    assert not got["f2"]["passed"]
+    clean, quarantined = C.route_files(documents)
+    assert [r["file"] for r in clean.select("file").collect()] == ["f0"]
+    assert quarantined.count() == 2

@@ -437,7 +437,7 @@ EXPECTED = {
         FROM bad""",
     ),
     "recognised_documents": """SELECT CAST(o_orderkey AS VARCHAR) AS doc,
-        o_totalprice NOT BETWEEN 21000 AND 25999.99 AS recognised FROM orders""",
+        o_totalprice NOT BETWEEN 21000 AND 23499.99 AS recognised FROM orders""",
     "ingest_documents": """SELECT
         CASE WHEN good THEN CAST(o_orderkey AS VARCHAR) END AS id,
         CASE WHEN good THEN '#' || o_orderkey END AS name,

@@ -257,7 +257,7 @@ def route_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recognised_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known, unknown = split_recognised(T.order_documents(spark, sf_dir), "data.orders")
+    known, unknown = split_recognised(T.order_documents(spark, sf_dir), "data")
     return known.select("doc", F.lit(True).alias("recognised")).unionByName(
         unknown.select("doc", F.lit(False).alias("recognised"))
     )

@@ -11,11 +11,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.operators.joins import split_join
+from tradewind.schemas import record
 
 STRING, OBJECT, NUMBER, ARRAY = "string", "object", "number", "array"
 ENVELOPE = "$.data.orders.edges"
+LARGE_TEXT = 4 * 1024 * 1024
+LARGE_DOCUMENT = record(data=record(orders=record(edges=T.ArrayType(T.VariantType()))))
 
 
 @dataclass(frozen=True)
@@ -97,8 +101,16 @@ def contract_errors(edge: Column, contract=SHOPIFY_CONTRACT) -> Column:
     ).otherwise(F.array(F.lit("node: type")))
 
 
-def _edges(document: Column) -> Column:
-    return F.try_variant_get(document, ENVELOPE, "array<variant>")
+def _edges(text: Column, document: Column) -> Column:
+    """The edge list of a document, null if it has none.
+
+    A VARIANT holds 16 MB at most. A document too large for that is read edge by edge.
+    """
+    is_large = document.isNull() & (F.octet_length(text) > LARGE_TEXT)
+    return F.coalesce(
+        F.try_variant_get(document, ENVELOPE, "array<variant>"),
+        F.when(is_large, F.from_json(text, LARGE_DOCUMENT)["data"]["orders"]["edges"]),
+    )
 
 
 def check_documents(documents: DataFrame, contract=SHOPIFY_CONTRACT) -> DataFrame:
@@ -119,13 +131,15 @@ def check_documents(documents: DataFrame, contract=SHOPIFY_CONTRACT) -> DataFram
 
     parsed = documents.withColumn("_doc", F.try_parse_json("text"))
     return (
-        parsed.withColumn("_edges", _edges(F.col("_doc")))
+        parsed.withColumn("_edges", _edges(F.col("text"), F.col("_doc")))
         .withColumns(
             {
                 "n_records": F.coalesce(F.size("_edges"), F.lit(0)),
-                "errors": F.when(F.col("_doc").isNull(), of_document("invalid json"))
-                .when(F.col("_edges").isNull(), of_document("no envelope"))
-                .otherwise(F.flatten(F.transform("_edges", of_edge))),
+                "errors": F.when(
+                    F.col("_edges").isNotNull(), F.flatten(F.transform("_edges", of_edge))
+                )
+                .when(F.col("_doc").isNull(), of_document("invalid json"))
+                .otherwise(of_document("no envelope")),
             }
         )
         .drop("_doc", "_edges")
@@ -134,9 +148,9 @@ def check_documents(documents: DataFrame, contract=SHOPIFY_CONTRACT) -> DataFram
 
 def document_passes(text: "str | Column", contract=SHOPIFY_CONTRACT) -> Column:
     """True if a document has its envelope and no record breaks the contract."""
-    clean = F.forall(
-        _edges(F.try_parse_json(text)), lambda edge: F.size(contract_errors(edge, contract)) == 0
-    )
+    text = F.col(text) if isinstance(text, str) else text
+    edges = _edges(text, F.try_parse_json(text))
+    clean = F.forall(edges, lambda edge: F.size(contract_errors(edge, contract)) == 0)
     return F.coalesce(clean, F.lit(False))
 
 

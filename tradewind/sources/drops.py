@@ -81,7 +81,7 @@ def drop_documents(
 
 
 def split_recognised(documents: DataFrame, root: str) -> "tuple[DataFrame, DataFrame]":
-    """(documents that hold the envelope field ``root``, documents that do not)."""
-    found = F.try_variant_get(F.try_parse_json("text"), f"$.{root}", "variant").isNotNull()
-    flagged = documents.withColumn("_found", found)
+    """(documents with the top-level field ``root``, documents without)."""
+    found = F.array_contains(F.json_object_keys("text"), root)
+    flagged = documents.withColumn("_found", F.coalesce(found, F.lit(False)))
     return flagged.filter("_found").drop("_found"), flagged.filter("not _found").drop("_found")
