@@ -38,8 +38,9 @@ def _text(c: str):
 
 
 def _amount_text(c):
-    """Whole cents as text with two decimals, the way the drops write money."""
-    return (c / F.lit(100.0)).cast("decimal(18,2)").cast("string")
+    """Whole cents, not negative, as text with two decimals, the way the drops write money."""
+    units = F.floor(c / F.lit(100.0)).cast("string")
+    return F.concat(units, F.lit("."), F.lpad((c % 100).cast("string"), 2, "0"))
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,6 @@ from tradewind.functions.payload import ACCEPTED, DEAD_LETTER, route_decoded
 from tradewind.operators.contract import document_passes
 from tradewind.sinks.lake import append_bronze
 from tradewind.sources.drops import drop_documents, read_distributor
-from tradewind.sources.lake import align
 from tradewind.sources.meta import with_ingest_meta
 from tradewind.streaming.ingest import stream_append, stream_documents, stream_pos, stream_rows
 
@@ -155,20 +154,22 @@ def bronze_table(
 ) -> "DataFrame | None":
     """Accepted bronze rows over all writers' paths; None if there are none yet.
 
-    ``since`` (``yyyy-MM-dd``) keeps later ingest dates only, by partition pruning.
+    ``since`` (``yyyy-MM-dd``) keeps later ingest dates only, by partition pruning. The schema is
+    given, so no file footers are read for it; a column that older files lack is null.
     """
     schema = S.BRONZE[BRONZE_NAME[channel]]
+    stored = T.StructType([*schema.fields, T.StructField("route", T.StringType())])
     out = None
     for path in paths:
         try:
-            table = spark.read.option("mergeSchema", True).parquet(path)
+            table = spark.read.schema(stored).parquet(path)
         except AnalysisException as e:
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if e.getCondition() == "PATH_NOT_FOUND":
                 continue
             raise
         rows = table.filter(F.col("route") == ACCEPTED)
         if since is not None:
             rows = rows.filter(F.col("ingest_date") >= F.lit(since))
-        rows = align(rows, schema)
+        rows = rows.select(*schema.fieldNames())
         out = rows if out is None else out.unionByName(rows)
     return None if out is None or out.isEmpty() else out
