@@ -7,6 +7,7 @@ from tests import drops as D
 from tradewind import schemas as S
 from tradewind.operators import conform
 from tradewind.operators.dedupe import duplicate_keys
+from tradewind.plans.silver import latest_rows
 from tradewind.sources import (
     read_amazon,
     read_distributor,
@@ -187,3 +188,34 @@ def test_products_prefer_the_last_channel_with_a_real_title(spark):
     assert got == {"A": ("Long socks", 11.0), "B": ("B", 5.0), None: ("No SKU", 1.0)}
     plain = conform.extract_products(items, sku_as_title=True)
     assert {r["sku"]: r["title"] for r in plain.collect()}["A"] == "A"
+
+
+def test_an_increment_knows_rows_that_moved_between_invoices(spark):
+    def row(tid, invoice, day):
+        values = dict.fromkeys(S.BRONZE["distributor_sales"].fieldNames())
+        values.update(
+            TransactionID=tid,
+            InvoiceNumber=invoice,
+            ingest_date=f"2026-07-{day:02d}",
+            _ingest_time=datetime(2026, 7, day),
+        )
+        return tuple(values.values())
+
+    bronze = spark.createDataFrame(
+        [
+            row("x", "INV-1", 1),
+            row("x", "INV-9", 2),
+            row("y", "INV-1", 1),
+            row("z", "INV-9", 1),
+            row("n", "INV-1", 3),
+        ],
+        S.BRONZE["distributor_sales"],
+    )
+    got = latest_rows("distributor", bronze, "2026-07-03")
+    # x left INV-1 before the increment; its old version must not come back
+    assert sorted(r["TransactionID"] for r in got.collect()) == ["n", "y"]
+    moved = latest_rows("distributor", bronze, "2026-07-02").collect()
+    # x's move touches both invoices
+    assert sorted((r["TransactionID"], r["InvoiceNumber"]) for r in moved) == [
+        ("n", "INV-1"), ("x", "INV-9"), ("y", "INV-1"), ("z", "INV-9"),
+    ]

@@ -12,7 +12,9 @@ from tradewind.operators.features import lookup_features
 from tradewind.operators.marts import inventory_turnover
 from tradewind.operators.quality import UNIQUE, Rule, violations
 from tradewind.operators.upsert import upsert
-from tradewind.plans.silver import touched_rows
+from tradewind.plans.silver import latest_rows
+from tradewind.schemas import BRONZE
+from tradewind.sources.lake import align
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -152,10 +154,17 @@ def test_a_hot_request_is_split(spark, tmp_path, no_broadcast):
 
 
 def test_a_hot_invoice_is_split(spark, tmp_path, no_broadcast):
-    rows = hot_rows(spark, tmp_path / "t", "InvoiceNumber").withColumn(
-        "TransactionID", F.col("id").cast("string")
+    rows = align(
+        hot_rows(spark, tmp_path / "t", "InvoiceNumber").withColumns(
+            {
+                "TransactionID": F.col("id").cast("string"),
+                "SKU": F.col("title"),
+                "ingest_date": F.when(F.col("id") < 2, "2026-07-02").otherwise("2026-07-01"),
+            }
+        ),
+        BRONZE["distributor_sales"],
     )
-    touched = touched_rows("distributor", rows, rows.filter("id = 0 or id = 1"))
+    touched = latest_rows("distributor", rows, "2026-07-02")
     assert len(touched.collect()) == N // 3 + 1 and splits(touched)
 
 
