@@ -1,9 +1,9 @@
 """Registered queries of the training-data operators, and the SQL of those SQL can express."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import mixing
+from tradewind.llm import mixing, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,11 +22,71 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs)
+    base = [r.kind for r in secrets.BASE_RULES]
+
+    def of(kinds: "list[str]") -> Column:
+        return F.filter("found", lambda s: s["kind"].isin(kinds))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    return found.select(
+        "doc_id",
+        *[F.size(of([k])).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(joined(of(base)), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"),
+        "blob",
+    )
+
+
+def _secrets_expected() -> str:
+    """Per rule: pieces between the matches and the matches give the places of the matches."""
+    parts = []
+    for place, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(
+            f"""
+            SELECT doc_id, {place} AS place, '{rule.kind}' AS kind,
+                   len(list_aggregate([''] || pieces[:i] || found[:i - 1], 'string_agg', '')) AS s,
+                   len(found[i]) AS n
+            FROM (SELECT doc_id, regexp_split_to_array(text, '{pattern}') AS pieces,
+                         regexp_extract_all(text, '{pattern}') AS found,
+                         regexp_extract_all(text, '{pattern}', {rule.group}) AS wanted
+                  FROM texts WHERE regexp_matches(text, '{pattern}')),
+                 range(1, len(found) + 1) r(i)
+            WHERE len(wanted[i]) >= {rule.least}"""
+        )
+    base = len(secrets.BASE_RULES)
+    counts = ", ".join(
+        f"count(*) FILTER (kind = '{r.kind}')::BIGINT AS n_{r.kind}" for r in secrets.BASE_RULES
+    )
+    listed = "string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, place)"
+    return f"""
+        WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        spans AS ({" UNION ALL ".join(parts)}),
+        digests AS (
+            SELECT doc_id, {counts}, sha256(coalesce({listed} FILTER (place < {base}), '')) AS b,
+                   {listed} AS spans
+            FROM spans GROUP BY doc_id)
+        SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.BASE_RULES)},
+               coalesce(b, sha256('')) AS base_sha256, coalesce(spans, '') AS spans,
+               sha256(text) AS blob
+        FROM texts LEFT JOIN digests USING (doc_id)
+    """
+
+
 LLM_QUERIES = {
+    "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
 }
 
 LLM_EXPECTED = {
+    "op8_secrets": _secrets_expected(),
     "op9_mixing": """
         WITH sized AS (
             SELECT doc_id, source,
