@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import mixing, secrets
+from tradewind.llm import langid, mixing, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +80,26 @@ def _secrets_expected() -> str:
     """
 
 
+def _remainder(key: str, n: int) -> Column:
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", (_remainder("doc_id", 4) == 2).alias("held_out")
+    )
+    model = langid.fit(docs.filter(~F.col("held_out")))
+    return langid.predict(docs.drop("lang"), model).select(
+        "doc_id",
+        "held_out",
+        F.col("language.code").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.col("language.rejected").alias("rejected"),
+    )
+
+
 LLM_QUERIES = {
+    "op10_language": op10_language,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
 }
