@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import langid, mixing, secrets
+from tradewind.llm import langid, mixing, quality, secrets, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,36 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels.filter(_remainder("doc_id", 5) != 0))
+    return toxicity.tag(docs, model).select(
+        "doc_id",
+        (_remainder("doc_id", 5) == 0).alias("held_out"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"),
+        F.array_join(
+            F.transform(
+                F.col("toxicity.spans"), lambda s: F.concat_ws(":", s["start"], s["end"])
+            ),
+            ",",
+        ).alias("spans"),
+    )
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.fit(docs, labels.filter(_remainder("doc_id", 5) != 0))
+    return quality.score(docs, model).select(
+        "doc_id",
+        (_remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.find_secrets(docs)
@@ -99,6 +129,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op6_quality": op6_quality,
     "op10_language": op10_language,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,

@@ -13,8 +13,10 @@ def chance(key: Column) -> Column:
     )
 
 
-def sample_by_label(rows: DataFrame, key: str, label: str, per_label: int) -> DataFrame:
-    """About ``per_label`` rows of each label, all if there are fewer; null labels go.
+def sample_by_label(
+    rows: DataFrame, key: str, label: str, per_label: "int | dict"
+) -> DataFrame:
+    """About ``per_label`` rows of each label (a number, or one per label); null labels go.
 
     A row stays if its key's number is below its label's rate, so a run on the same rows keeps
     the same ones. Collected is a count per label; every label must be one of a small set.
@@ -23,6 +25,7 @@ def sample_by_label(rows: DataFrame, key: str, label: str, per_label: int) -> Da
     counts = known.groupBy(label).count().collect()
     keep = F.lit(False)
     for row in counts:
-        rate = min(1.0, per_label / row["count"])
+        wanted = per_label[row[label]] if isinstance(per_label, dict) else per_label
+        rate = min(1.0, wanted / row["count"])
         keep = keep | ((F.col(label) == F.lit(row[label])) & (chance(F.col(key)) < F.lit(rate)))
     return known.filter(keep)
