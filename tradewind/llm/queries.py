@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import langid, mixing, packing, quality, secrets, toxicity
+from tradewind.llm import langid, mixing, neardup, packing, quality, secrets, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,17 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, words=4).select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "class_id",
+    )
+
+
 def vocabulary() -> str:
     """The file of the tokenizer that op4 names."""
     import public_tokenizers
@@ -141,6 +152,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op3_neardup": op3_neardup,
     "op4_packing": op4_packing,
     "op2_toxicity": op2_toxicity,
     "op6_quality": op6_quality,

@@ -140,6 +140,16 @@ def mixed(points: np.ndarray) -> np.ndarray:
     return mix(points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
 
 
+def gram_hashes(values: np.ndarray, n: int) -> np.ndarray:
+    """64-bit hash of the n values from each place; the last n - 1 places have none."""
+    total = max(len(values) - n + 1, 0)
+    h = values[:total].copy()
+    for k in range(1, n):
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h += values[k : k + total]
+    return mix(h + np.uint64(n))
+
+
 def gram_buckets(
     values: np.ndarray, n: int, bits: int, salt: int
 ) -> np.ndarray:
