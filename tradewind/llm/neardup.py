@@ -5,8 +5,9 @@ start. A class has a MinHash signature; a tree of the forest reads the signature
 and classes that agree in a long prefix of that order stand next to each other in it, in one
 region. All members of a region are candidates of the region's first member; those that this
 doesn't bring together are candidates of each other. Regions begin at ``DEPTH`` equal values. One
-that is still large and holds several groups is cut up by reading on in the tree's order until its
-parts are small or ``DEEPEST`` values agree; the depth is a region's own. No region is cut off.
+in which those are too many for its size is cut up by reading on in the tree's order; the depth is
+a region's own. A pair near the threshold may part there, so the members of such regions are also
+joined on their rarest shingles, which misses none.
 
 Candidates are tested first on signatures, with a wide margin, then on the full sets. Components
 are found by alternating star contractions, whose work doesn't depend on a component's shape.
@@ -34,9 +35,12 @@ PERCENT = 80
 VALUES = 128
 TREES = 24
 DEPTH = 4
-# depths at which a large region is cut up
+# depths at which a large region is cut up; it is large if its members would have more candidates
+# each than this, on the average
 DEEPER = (8, 16)
-LARGE = 128
+LARGE = 8
+# members of a region whose order is looked at together
+STRETCH = 4096
 # signatures agree in fewer values than this share only if the sets are far from the threshold:
 # five standard deviations
 _MARGIN = 5.0
@@ -254,17 +258,58 @@ def _across(members: DataFrame, group: DataFrame) -> DataFrame:
     ).select(*members.columns, F.coalesce("root", "id").alias("group"))
 
 
+def _apart(pairs: DataFrame, group: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` that are in different groups."""
+    left = group.select(F.col("id").alias("_ia"), F.col("root").alias("_ra"))
+    right = group.select(F.col("id").alias("_ib"), F.col("root").alias("_rb"))
+    return (
+        pairs.join(left, F.col("a") == F.col("_ia"), "left")
+        .join(right, F.col("b") == F.col("_ib"), "left")
+        .filter(F.coalesce("_ra", "a") != F.coalesce("_rb", "b"))
+        .select("a", "b")
+    )
+
+
+def _neighbours(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` that stand next to each other, or next but one, in a tree's order.
+
+    Within a region the order goes by the values that follow the region's own, so neighbours are
+    those with the longest common prefix. A region of more than ``STRETCH`` members is ordered in
+    several stretches, by a hash of the id, so that no task gets a whole large region.
+    """
+    following = F.slice(
+        F.concat("signature", "signature"), F.col("tree") * DEPTH + DEPTH + 1, F.lit(8)
+    )
+    ordered = members.join(
+        classes.select(F.col("id").alias("_c"), "signature"), F.col("id") == F.col("_c")
+    ).select(
+        "region",
+        "id",
+        F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / STRETCH)).alias("stretch"),
+        following.alias("order"),
+    )
+    along = Window.partitionBy("region", "stretch").orderBy("order", "id")
+    before = ordered.select(
+        "id", F.array(F.lag("id", 1).over(along), F.lag("id", 2).over(along)).alias("before")
+    )
+    pairs = before.select("id", F.explode("before").alias("b")).filter("b is not null")
+    return pairs.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
+
+
 def _open_regions(members: DataFrame, least: int) -> DataFrame:
-    """``r, n``: regions of at least so many members that hold several groups."""
+    """``r, n, across``: regions of at least so many members in several groups, and their pairs of
+    members in different groups."""
     return (
-        members.groupBy(F.col("region").alias("r"))
+        members.groupBy("region", "group")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(F.col("region").alias("r"))
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("group").alias("low"),
-            F.max("group").alias("high"),
+            F.sum("n").alias("n"),
+            F.sum(F.col("n") * F.col("n")).alias("_same"),
+            F.count(F.lit(1)).alias("_groups"),
         )
-        .filter((F.col("n") >= least) & (F.col("low") != F.col("high")))
-        .select("r", "n")
+        .filter((F.col("n") >= least) & (F.col("_groups") > 1))
+        .select("r", "n", ((F.col("n") * F.col("n") - F.col("_same")) / 2).alias("across"))
     )
 
 
@@ -322,47 +367,51 @@ def near_duplicates(
         "shared",
     )
     members = work.kept(
-        regions.join(shared, F.col("region") == F.col("r")).select("region", "tree", "id", "first"),
+        regions.join(shared, F.col("region") == F.col("r")).select(
+            "region", "tree", "id", "first", "n"
+        ),
         "members",
     )
     # every member with its region's first; the one a member meets most often is tried at once
     stars = work.kept(
-        members.filter("id <> first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("n")),
+        members.filter("id <> first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("times")),
         "stars",
     )
     share = percent / 100
     least = max(0.0, share - _MARGIN * float(np.sqrt(share * (1 - share) / values)))
     best = (
         stars.groupBy("id")
-        .agg(F.max(F.struct("n", (-F.col("first")).alias("first"))).alias("best"))
+        .agg(F.max(F.struct("times", (-F.col("first")).alias("first"))).alias("best"))
         .select(F.col("id").alias("a"), (-F.col("best.first")).alias("b"))
     )
     tried = work.kept(_near(best, classes, least), "tried")
     links = work.kept(_confirmed(tried, texts, words, percent, work), "links")
     group = work.kept(components(links, work), "groups")
 
-    # what is not together yet: the other first members, and members of one region in other groups
-    def apart(pairs: DataFrame) -> DataFrame:
-        left = group.select(F.col("id").alias("_ia"), F.col("root").alias("_ra"))
-        right = group.select(F.col("id").alias("_ib"), F.col("root").alias("_rb"))
-        return (
-            pairs.join(left, F.col("a") == F.col("_ia"), "left")
-            .join(right, F.col("b") == F.col("_ib"), "left")
-            .filter(F.coalesce("_ra", "a") != F.coalesce("_rb", "b"))
-            .select("a", "b")
+    def linked_too(pairs: DataFrame) -> None:
+        """Test the pairs that are in different groups and were not tested before."""
+        nonlocal links, group, tried
+        new = _apart(pairs, group).join(
+            tried.select(F.col("a").alias("ta"), F.col("b").alias("tb")),
+            (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")),
+            "left_anti",
         )
-
-    others = apart(stars.select(F.col("id").alias("a"), F.col("first").alias("b")))
-    found = _cross_pairs(members, group, classes, trees, values, work)
-    pairs = others.union(found).distinct().join(
-        tried.select(F.col("a").alias("ta"), F.col("b").alias("tb")),
-        (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")),
-        "left_anti",
+        near = work.kept(_near(new, classes, least), "tried")
+        more = work.kept(_confirmed(near, texts, words, percent, work), "links")
+        tried = tried.union(near)
+        if not more.isEmpty():
+            links = links.union(more)
+            group = work.kept(components(links, work), "groups")
+
+    # neighbours in the trees' orders, then what is still apart: members of one region
+    linked_too(work.kept(_neighbours(members, classes), "neighbours"))
+    linked_too(
+        stars.select(F.col("id").alias("a"), F.col("first").alias("b"))
+        .union(_cross_pairs(
+                members, group, classes, texts, words, percent, trees, values, work
+            ))
+        .distinct()
     )
-    late = work.kept(_near(pairs, classes, least), "late")
-    more = work.kept(_confirmed(late, texts, words, percent, work), "links")
-    if not more.isEmpty():
-        group = work.kept(components(links.union(more), work), "groups")
 
     placed = work.kept(
         named.join(group.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select(
@@ -386,34 +435,123 @@ def _cross_pairs(
     members: DataFrame,
     group: DataFrame,
     classes: DataFrame,
+    texts: DataFrame,
+    words: int,
+    percent: int,
     trees: int,
     values: int,
     work: _Work,
 ) -> DataFrame:
-    """Pairs of one region and different groups, at the region's own depth."""
+    """Pairs of one region and different groups, at the region's own depth.
+
+    Reading on in a large region's order finds the pairs that agree further, but a pair near the
+    threshold may part there. The members of large regions are therefore joined on rare shingles,
+    which finds every pair of them that can reach the threshold.
+    """
     grouped = work.kept(_across(members.select("region", "tree", "id"), group), "grouped")
-    found, least = None, 3
+    found, least, crowded = None, 3, None
     for depth in (*DEEPER, None):
         # the pair in a first region of two is one with the first member
         regions = work.kept(_open_regions(grouped, least), "open")
         inside = grouped.join(regions, F.col("region") == F.col("r"))
-        small = inside if depth is None else inside.filter(F.col("n") <= LARGE)
-        pairs = _pairs_across(small.select("region", "id", "group"))
+        large = F.col("across") > F.col("n") * LARGE
+        pairs = _pairs_across(inside.filter(~large).select("region", "id", "group"))
         found = pairs if found is None else found.union(pairs)
-        if depth is None or regions.filter(F.col("n") > LARGE).isEmpty():
+        if regions.filter(large).isEmpty():
+            break
+        standing = work.kept(inside.filter(large).select("id", "tree", "group"), "large")
+        if crowded is None:
+            crowded = standing.select("id", "group").distinct()
+        if depth is None:
             break
         deeper = F.array(*[_prefix(t, depth, values) for t in range(trees)])
         grouped = work.kept(
-            inside.filter(F.col("n") > LARGE)
-            .select("id", "tree", "group")
-            .join(classes.withColumnRenamed("id", "_c"), F.col("id") == F.col("_c"))
-            .select("id", "tree", "group", deeper[F.col("tree")].alias("region")),
+            standing.join(classes.withColumnRenamed("id", "_c"), F.col("id") == F.col("_c")).select(
+                "id", "tree", "group", deeper[F.col("tree")].alias("region")
+            ),
             "grouped",
         )
         least = 2
+    if crowded is not None:
+        found = found.union(_rare_pairs(crowded, texts, words, percent, work))
     return found
 
 
+def _shingle_rows(words: int):
+    def run(frames: "Iterator[pd.DataFrame]") -> "Iterator[pd.DataFrame]":
+        for frame in frames:
+            sets = shingle_sets(frame["text"].fillna("").tolist(), words)
+            sizes = [len(s) for s in sets]
+            yield pd.DataFrame(
+                {
+                    "id": np.repeat(frame["id"].to_numpy(), sizes),
+                    "group": np.repeat(frame["group"].to_numpy(), sizes),
+                    "size": np.repeat(np.array(sizes, dtype=np.int64), sizes),
+                    "shingle": np.concatenate([s[:0] for s in sets] + sets).view(np.int64),
+                }
+            )
+
+    return run
+
+
+def _rare_pairs(
+    crowded: DataFrame, texts: DataFrame, words: int, percent: int, work: _Work
+) -> DataFrame:
+    """Every pair of ``crowded`` (``id, group``) that can reach the threshold, in different groups.
+
+    Two sets that are similar enough share one of the rarest ``size - ceil(size * percent / 100) +
+    1`` shingles of either, under any one order; rarest first keeps common passages out of them.
+    """
+    wanted = work.kept(crowded, "crowded")
+    rows = work.kept(
+        texts.join(wanted.withColumnRenamed("id", "_w"), F.col("id") == F.col("_w"))
+        .dropDuplicates(["id"])
+        .select("id", "group", "text")
+        .mapInPandas(_shingle_rows(words), "id long, group long, size long, shingle long"),
+        "shingles",
+    )
+    often = rows.groupBy(F.col("shingle").alias("_s")).agg(F.count(F.lit(1)).alias("often"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("often", "shingle"))
+    rare = work.kept(
+        rows.join(often, F.col("shingle") == F.col("_s"))
+        .withColumn("rank", rank)
+        .filter(F.col("rank") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1)
+        .filter("often > 1")
+        .select("shingle", "id", "group", "rank", "size"),
+        "rare",
+    )
+
+    def possible(rank: Column, size: Column, least_rank: Column, low: Column, high: Column) -> Column:
+        """If this is the first shingle two sets share, so many can follow it in both."""
+        rest = F.least(size - rank, high - least_rank) + 1
+        return (rest * (100 + percent) >= percent * (size + low)) & (high * 100 >= size * percent) & (
+            size * 100 >= low * percent
+        )
+
+    groups = rare.groupBy(F.col("shingle").alias("_s"), F.col("group").alias("_other")).agg(
+        F.min("rank").alias("_rank"), F.min("size").alias("_low"), F.max("size").alias("_high")
+    )
+    meeting = rare.join(
+        groups,
+        (F.col("shingle") == F.col("_s"))
+        & (F.col("group") > F.col("_other"))
+        & possible(F.col("rank"), F.col("size"), F.col("_rank"), F.col("_low"), F.col("_high")),
+    ).select("shingle", "id", "rank", "size", "_other")
+    partners = rare.select(
+        F.col("shingle").alias("_s"),
+        F.col("group").alias("_g"),
+        F.col("id").alias("_id"),
+        F.col("rank").alias("_r"),
+        F.col("size").alias("_n"),
+    )
+    return meeting.join(
+        partners,
+        (F.col("shingle") == F.col("_s"))
+        & (F.col("_other") == F.col("_g"))
+        & possible(F.col("rank"), F.col("size"), F.col("_r"), F.col("_n"), F.col("_n")),
+    ).select(F.greatest("id", "_id").alias("a"), F.least("id", "_id").alias("b"))
+
+
 def _pairs_across(members: DataFrame) -> DataFrame:
     """Pairs of one region and different groups. Members meet the region's other groups first, so
     the work follows the pairs that come out, not the square of a region's largest group."""
