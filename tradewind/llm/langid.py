@@ -84,7 +84,7 @@ def _counts(bits: int):
                 bucket = np.concatenate([b for b, _ in subwords([text], bits)])
                 if len(bucket):
                     used, count = np.unique(bucket, return_counts=True)
-                    rows.append((label, used.astype(np.int32), count.astype(np.float32)))
+                    rows.append((label, used.astype("<i4").tobytes(), count.astype("<f4").tobytes()))
             yield pd.DataFrame(rows, columns=["label", "bucket", "n"])
 
     return run
@@ -105,17 +105,18 @@ def fit(labelled: DataFrame, key: str = "doc_id", seed: int = 17, **sizes) -> La
         per_language,
     ).select(F.col("lang").alias("label"), "text")
     rows = sample.mapInPandas(
-        _counts(bits), "label string, bucket array<int>, n array<float>"
+        _counts(bits), "label string, bucket binary, n binary"
     ).collect()
     # row order depends on the tasks; the fit must not
-    rows = sorted(rows, key=lambda r: (r["label"], len(r["bucket"]), r["bucket"], r["n"]))
+    rows = sorted(rows, key=lambda r: (r["label"], bytes(r["bucket"]), bytes(r["n"])))
     languages = sorted({r["label"] for r in rows})
     if not languages:
         return LanguageModel([], np.zeros((0, 1 << bits)), np.zeros(0), 1.0, 0.0, bits)
     place = {name: i for i, name in enumerate(languages)}
     target = np.array([place[r["label"]] for r in rows])
-    used = [np.array(r["bucket"], dtype=np.int64) for r in rows]
-    share = [np.array(r["n"]) / np.sum(r["n"]) for r in rows]
+    used = [np.frombuffer(bytes(r["bucket"]), dtype="<i4") for r in rows]
+    share = [np.frombuffer(bytes(r["n"]), dtype="<f4") for r in rows]
+    share = [n / n.sum(dtype=np.float64) for n in share]
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))
     back, front = order[::HELD_BACK], np.setdiff1d(order, order[::HELD_BACK])
