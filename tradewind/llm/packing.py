@@ -12,15 +12,19 @@ it goes; tasks look that up. Pieces are numbered within their length in groups o
 a length that very many pieces share is not one task's work.
 """
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.llm.vectext import batches
 from tradewind.sinks.shared import shared_dir
 
 CAPACITY = 4096
@@ -38,34 +42,73 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-class _Words(dict):
-    """Ids of a run of characters without blanks, as bytes of 32-bit numbers."""
+# Parts of these characters alone need no normalising but lower case, and the vocabulary's split
+# sees no other letters or digits in them: printable ASCII, and Latin letters with one lower case.
+_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e"
+_PLAIN = re.compile(f"[!-~{_LATIN}]+")
+# fixed value: the vocabulary's split, for such parts in lower case
+_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+")
+_SPECIAL = "<|"
+
+
+class _Words:
+    """Ids of parts of texts without blanks, as bytes of 32-bit numbers.
+
+    Most parts are words no text before had, so what counts is the time for a new one: plain parts
+    are split here, and the tokenizer's model is asked for the pieces; others take the whole way.
+    """
 
     def __init__(self, path: str):
-        super().__init__()
-        self.tokenizer = _tokenizer(path)
+        from tokenizers.pre_tokenizers import ByteLevel
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) > REMEMBER:
-            self.clear()
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        found = self[word] = np.array(ids, dtype="<u4").tobytes()
+        self.tokenizer = _tokenizer(path)
+        self.model = self.tokenizer.model
+        self.as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.known: "dict[str, bytes]" = {}
+        self.pieces: "dict[str, bytes]" = {}
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            shown = piece if piece.isascii() else self.as_bytes.pre_tokenize_str(piece)[0][0]
+            ids = [t.id for t in self.model.tokenize(shown)]
+            found = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
+    def learn(self, parts: "set[str]") -> None:
+        """Tokenise the parts that are not known."""
+        if len(self.known) > REMEMBER:
+            self.known.clear()
+            self.pieces.clear()
+        for part in parts.difference(self.known):
+            if _PLAIN.fullmatch(part) and _SPECIAL not in part:
+                bits = b"".join(map(self._piece, _SPLIT.findall(part.lower())))
+            else:
+                ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+                bits = struct.pack(f"<{len(ids)}I", *ids)
+            self.known[part] = bits
+
 
 @lru_cache(maxsize=2)
 def _words(path: str) -> _Words:
     return _Words(path)
 
 
-def token_bytes(text: str, path: str) -> bytes:
-    """A text's ids as little-endian 32-bit numbers.
+def token_bytes(texts: "list[str]", path: str) -> "list[bytes]":
+    """The texts' ids as little-endian 32-bit numbers.
 
     The vocabulary splits at white space, so the ids of a text are those of its parts between
-    spaces and line breaks; parts repeat, and each is tokenised once while it is remembered. Parts
-    with other white space in them are left to the tokenizer.
+    spaces and line breaks; each part is tokenised once while it is remembered.
     """
-    return b"".join(map(_words(path).__getitem__, text.replace("\n", " ").split(" ")))
+    words = _words(path)
+    parts = [t.replace("\n", " ").split(" ") for t in texts]
+    words.learn(set(chain.from_iterable(parts)))
+    return [b"".join(map(words.known.__getitem__, p)) for p in parts]
+
+
+def _streamed(texts: "list[str]", path: str) -> "Iterator[bytes]":
+    for begin, end in batches(texts):
+        yield from token_bytes(texts[begin:end], path)
 
 
 def _tokenise(path: str, capacity: int, end_id: int, with_ids: bool):
@@ -74,8 +117,9 @@ def _tokenise(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(frames: "Iterator[pd.DataFrame]") -> "Iterator[pd.DataFrame]":
         for frame in frames:
             rows = []
-            for key, text in zip(frame["key"], frame["text"]):
-                ids = token_bytes(text or "", path) + end
+            texts = frame["text"].fillna("").tolist()
+            for key, ids in zip(frame["key"], _streamed(texts, path)):
+                ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     row = (key, piece, start // 4, len(part) // 4, zlib.crc32(part))
