@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import langid, mixing, neardup, packing, quality, secrets, toxicity
+from tradewind.llm import ann, langid, mixing, neardup, packing, quality, secrets, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -63,6 +67,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary())
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -152,6 +160,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_ann": op1_ann,
+    "op5_topk": op5_topk,
     "op3_neardup": op3_neardup,
     "op4_packing": op4_packing,
     "op2_toxicity": op2_toxicity,
@@ -162,6 +172,21 @@ LLM_QUERIES = {
 }
 
 LLM_EXPECTED = {
+    "op5_topk": """
+        WITH whole AS (
+            SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+              AND len(embedding) > 0 AND vec_id IS NOT NULL),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)])::BIGINT AS score
+            FROM whole q JOIN whole c
+              ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+        SELECT query_id, row_number() OVER w::INT AS rank, vec_id, score FROM scored
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 20
+    """,
     "op8_secrets": _secrets_expected(),
     "op9_mixing": """
         WITH sized AS (
