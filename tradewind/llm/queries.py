@@ -3,7 +3,18 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import ann, langid, mixing, neardup, packing, quality, secrets, topk, toxicity
+from tradewind.llm import (
+    ann,
+    langid,
+    licenses,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    secrets,
+    topk,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +94,25 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def listed(labels: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    base = F.col("places.label")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.start").cast("long").alias("first_word"),
+        F.array_max("places.start").cast("long").alias("last_word"),
+        listed(base).alias("base_labels"),
+        listed(F.concat(base, F.col("similar.label"))).alias("labels"),
+        "score",
+    )
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.find_secrets(docs)
@@ -159,7 +189,56 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _licenses_expected() -> str:
+    """Templates are compared with every line, without any filter."""
+    word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+    def quoted(words: "list[str]") -> str:
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+    phrases = ", ".join(f"({quoted(p.split())}, '{label}')" for p, label in licenses.PHRASES)
+    templates = ", ".join(
+        f"({i}, {quoted(t.words)}, '{t.label}')" for i, t in enumerate(licenses.TEMPLATES)
+    )
+    small = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+        WITH texts AS (SELECT doc_id, {small.format("coalesce(text, '')")} AS text FROM documents),
+        worded AS (SELECT doc_id, regexp_extract_all(text, '{word}') AS w FROM texts),
+        places AS (
+            SELECT doc_id, i - 1 AS start, label
+            FROM (SELECT doc_id, w, p.words, p.label
+                  FROM worded, (VALUES {phrases}) p(words, label)
+                  WHERE list_has_all(w, p.words)),
+                 range(1, len(w) + 1) r(i)
+            WHERE w[i:i + len(words) - 1] = words),
+        base AS (
+            SELECT doc_id, count(*)::BIGINT AS n_base, min(start)::BIGINT AS first_word,
+                   max(start)::BIGINT AS last_word
+            FROM places GROUP BY doc_id),
+        blocks AS (
+            SELECT doc_id, regexp_extract_all(line, '{word}') AS w
+            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)),
+        alike AS (
+            SELECT doc_id, t.label, len(list_intersect(w, t.words))::DOUBLE / len(t.words) AS share
+            FROM blocks, (VALUES {templates}) t(i, words, label)
+            WHERE 100 * len(list_intersect(w, t.words)) >= {licenses.PERCENT} * len(t.words)),
+        labelled AS (
+            SELECT doc_id, label, true AS base, 1.0::DOUBLE AS share FROM places
+            UNION ALL SELECT doc_id, label, false, share FROM alike),
+        joined AS (
+            SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+                   string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+                   max(share) AS score
+            FROM labelled GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word,
+               last_word, coalesce(base_labels, '') AS base_labels,
+               coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+        FROM worded LEFT JOIN base USING (doc_id) LEFT JOIN joined USING (doc_id)
+    """
+
+
 LLM_QUERIES = {
+    "op7_licenses": op7_licenses,
     "op1_ann": op1_ann,
     "op5_topk": op5_topk,
     "op3_neardup": op3_neardup,
@@ -172,6 +251,7 @@ LLM_QUERIES = {
 }
 
 LLM_EXPECTED = {
+    "op7_licenses": _licenses_expected(),
     "op5_topk": """
         WITH whole AS (
             SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
