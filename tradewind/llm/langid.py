@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import vectext as V
@@ -193,8 +193,10 @@ def score_texts(model: LanguageModel, texts: "list[str]") -> "tuple[np.ndarray,
     return place, score
 
 
-def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``language``: ``code, score, rejected``.
+def predict(
+    docs: DataFrame, model: LanguageModel, text: str = "text", out: str = "language"
+) -> DataFrame:
+    """``docs`` with a struct column ``out``: ``code, score, rejected``.
 
     A null text, an empty one and one without a letter are ``und`` with score 0 and rejected. A
     text is rejected if its score is below the calibrated one. Ties go to the first code.
@@ -216,9 +218,4 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
                 }
             )
 
-    return docs.withColumn("language", language(F.col(text)))
-
-
-def confident(predicted: DataFrame) -> Column:
-    """Rows whose language is known well enough."""
-    return ~predicted["language"]["rejected"]
+    return docs.withColumn(out, language(F.col(text)))

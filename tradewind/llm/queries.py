@@ -175,11 +175,17 @@ def _remainder(key: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def language_model(docs: DataFrame) -> langid.LanguageModel:
+    """Learnt from text and language of the documents that are not held out."""
+    rows = docs.select("doc_id", "text", "lang")
+    return langid.fit(rows.filter(_remainder("doc_id", 4) != 2))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", (_remainder("doc_id", 4) == 2).alias("held_out")
     )
-    model = langid.fit(docs.filter(~F.col("held_out")))
+    model = language_model(docs)
     return langid.predict(docs.drop("lang"), model).select(
         "doc_id",
         "held_out",

@@ -10,6 +10,7 @@ blob, keyed by row and blob, so that a blob with very many rows is not a hot key
 their rows in a join on the blob, which Spark splits where one blob has many rows.
 """
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -255,14 +256,15 @@ def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
     under the kind of the first. Only rows with a span join: findings have one row per blob.
     Every row stays; null texts stay null.
     """
+    own = uuid.uuid4().hex[:8]
+    blob, spans = f"_blob_{own}", f"_found_{own}"
     hits = (
         found.filter(F.size("found") > 0)
-        .groupBy("blob")
-        .agg(F.any_value("found").alias("_found"))
-        .withColumnRenamed("blob", "_blob")
+        .groupBy(F.col("blob").alias(blob))
+        .agg(F.any_value("found").alias(spans))
     )
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    text = F.col("text")
+    text = docs["text"]
 
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["at"]
@@ -275,26 +277,16 @@ def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
         )
 
     cleaned = F.aggregate(
-        "_found",
+        spans,
         start,
         step,
-        lambda acc: F.concat(
-            acc["out"], text.substr(acc["at"] + 1, F.length(text) - acc["at"])
-        ),
+        lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text) - acc["at"])),
     )
-    out = docs.join(hits, content_address(text) == F.col("_blob"), "left")
-    changed = F.when(F.col("_found").isNull(), text).otherwise(cleaned)
-    columns = []
-    for c in docs.columns:
-        if c == "text":
-            columns.append(changed.alias("text"))
-        elif c == "n_chars":
-            columns.append(
-                F.when(F.col("_found").isNull(), docs[c])
-                .otherwise(F.length(changed))
-                .cast(docs.schema[c].dataType)
-                .alias(c)
-            )
-        else:
-            columns.append(docs[c])
-    return out.select(*columns)
+    clean = F.col(spans).isNull()
+    changed = {"text": F.when(clean, text).otherwise(cleaned)}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        length = F.length(changed["text"]).cast(kind)
+        changed["n_chars"] = F.when(clean, docs["n_chars"]).otherwise(length)
+    joined = docs.join(hits, content_address(text) == F.col(blob), "left")
+    return joined.select(*[changed.get(c, docs[c]).alias(c) for c in docs.columns])
