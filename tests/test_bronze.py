@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests import drops as D
 from tradewind.functions import route_decoded, split_decoded
 from tradewind.plans import bronze_table, channel_rows, ingest_batch, ingest_stream
-from tradewind.schemas import POS_TRANSACTION
+from tradewind.schemas import DISTRIBUTOR_ROW, POS_TRANSACTION
 from tradewind.sources import drop_documents, read_shopify, split_recognised
 from tradewind.sources.drops import FILE
 from tradewind.streaming import stream_append, stream_documents, stream_pos
@@ -134,7 +134,7 @@ def test_corrupt_message_goes_to_the_dead_letters(spark):
     routed = route_decoded(df, "value", POS_TRANSACTION, "transaction_id")
     assert routes(routed) == {"accepted": 1, "dead_letter": 3}
     first = routed.filter("route = 'accepted'").first()
-    assert first["items"][0]["quantity"] == 2 and first["total_amount"] == 236.0
+    assert first["items"][0]["quantity"] == "2" and first["total_amount"] == 236.0
 
 
 def test_message_stream(spark, tmp_path):
@@ -185,3 +185,64 @@ def test_documents_stream_reads_whole_files(spark, tmp_path):
     )
     query.awaitTermination()
     assert spark.table("whole_docs").count() == 1
+
+
+@pytest.mark.parametrize("size", [1, 5_000, 20_000])
+def test_a_document_is_one_json_value(spark, tmp_path, size):
+    """The same verdict at 1 kB, 5 MB and 20 MB."""
+    nodes = [D.node(f"s{i}", name="n" * 1000) for i in range(size)]
+    text = json.dumps({"data": {"orders": {"edges": [{"node": n} for n in nodes]}}})
+    again = json.dumps({"data": 1})[:-1] + ", " + text[1:]
+    bad = {"trailing": text + " garbage", "glued": text + text, "cut": text[:-2], "two": text + "," + text}
+    for name, body in {"good": text + "\n ", "repeated": again, **bad}.items():
+        (tmp_path / f"{name}.json").write_text(body)
+    rows = channel_rows("shopify", drop_documents(spark, str(tmp_path)))
+    found = {tuple(r) for r in rows.groupBy("_ingest_file_name", "route").count().collect()}
+    assert found == {("good.json", "accepted", size), ("repeated.json", "accepted", size)} | {
+        (f"{name}.json", "dead_letter", 1) for name in bad
+    }
+
+
+def test_line_drops_keep_every_document(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    lines = [json.dumps(D.pos_transaction(f"t{i}")) for i in range(3)]
+    (landing / "pos.json").write_text("\n".join([*lines, json.dumps([D.pos_transaction("t3")]), "{cut"]))
+    ingest_batch(spark, "pos", str(landing), str(tmp_path / "batch"), whole_files=False)
+    ingest_stream(
+        spark,
+        "pos",
+        str(landing),
+        str(tmp_path / "stream"),
+        str(tmp_path / "checkpoint"),
+        trigger={"availableNow": True},
+        whole_files=False,
+    ).awaitTermination()
+    for table in ("batch", "stream"):
+        assert routes(spark.read.parquet(str(tmp_path / table))) == {"accepted": 4, "dead_letter": 1}
+
+
+def test_bad_distributor_files_and_lines_are_set_aside(spark, tmp_path):
+    header = ",".join(DISTRIBUTOR_ROW.fieldNames())
+    good = "d1,D1,North Co,North,I1,2026-07-20,SKU-1,2,10.0,0,3.6,23.6,PAID"
+    (tmp_path / "a.csv").write_text(
+        f"{header}\r\n{good}\r\nd2,D1\n{good.replace(',2,10.0', ',two,10.0')}\n,{good[3:]}\n\n"
+    )
+    (tmp_path / "b.csv").write_text(f"Other,{header}\nx,{good}\n")
+    rows = channel_rows("distributor", drop_documents(spark, str(tmp_path), suffix="*.csv"))
+    assert routes(rows) == {"accepted": 1, "dead_letter": 4}
+    assert rows.filter("route = 'accepted'").first()["Quantity"] == 2
+    lines = channel_rows(
+        "distributor",
+        drop_documents(spark, str(tmp_path), False, "a.csv"),
+        whole_files=False,
+    )
+    assert routes(lines) == {"accepted": 1, "dead_letter": 3}
+
+
+def test_an_amazon_order_without_id_is_a_dead_letter(spark, tmp_path):
+    orders = [{"SellerOrderId": "x"}, {"AmazonOrderId": "a1", "OrderItems": [{"QuantityOrdered": 2.0}]}]
+    (tmp_path / "a.json").write_text(json.dumps({"Orders": orders}))
+    rows = channel_rows("amazon", drop_documents(spark, str(tmp_path)))
+    assert routes(rows) == {"accepted": 1, "dead_letter": 1}
+    assert rows.filter("route = 'accepted'").first()["OrderItems"][0]["QuantityOrdered"] == "2.0"

@@ -63,11 +63,10 @@ def test_pos_items_and_key_collision(spark, tmp_path):
     items = conform.pos_items(rows)
     assert items.groupBy("order_id").count().orderBy("order_id").collect() == [("t1", 2), ("t4", 1)]
     assert items.filter("order_id = 't4'").first()["order_item_id"] is None
-    collisions = duplicate_keys(items, ["order_item_id"])
-    assert collisions.count() == 1
+    # a SKU listed twice gets two keys, so no line is lost
+    assert duplicate_keys(items, ["order_item_id"]).isEmpty()
     merged = conform.union_items({"pos": items})
-    assert merged.filter("order_id = 't1'").count() == 1
-    assert merged.filter("order_id = 't1'").first()["quantity"] == 2
+    assert sorted(r["quantity"] for r in merged.filter("order_id = 't1'").collect()) == [1, 2]
 
 
 def test_distributor_rollup(spark, tmp_path):
@@ -219,3 +218,22 @@ def test_an_increment_knows_rows_that_moved_between_invoices(spark):
     assert sorted((r["TransactionID"], r["InvoiceNumber"]) for r in moved) == [
         ("n", "INV-1"), ("x", "INV-9"), ("y", "INV-1"), ("z", "INV-9"),
     ]
+
+
+def test_no_line_of_an_order_is_lost(spark):
+    line = '{"sku": "%s", "quantity": "%s", "amount": %s}'
+    lines = [line % ("A", "2", 1.5), line % ("A", "2.0", 1.5), line % ("B", "x", '"NaN"')]
+    text = '{"transaction_id": "t", "items": [%s, {"quantity": "1"}, {"quantity": "3"}]}'
+    rows = spark.createDataFrame([(text % ", ".join(lines),)], "t string").select(
+        F.from_json("t", S.POS_TRANSACTION).alias("r")
+    )
+    items = conform.union_items({"pos": conform.pos_items(rows.select("r.*"))}).collect()
+    assert sorted((r["sku"] or "", r["quantity"] or 0, r["total_amount"] or 0) for r in items) == [
+        ("", 1, 0),
+        ("", 3, 0),
+        ("A", 2, 1.5),
+        ("A", 2, 1.5),
+        ("B", 0, 0),
+    ]
+    keys = [r["order_item_id"] for r in items if r["sku"]]
+    assert len(set(keys)) == 3

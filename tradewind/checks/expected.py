@@ -88,10 +88,17 @@ def merged(target: str, source: str, keys: str) -> str:
 
 LOADED = "< TIMESTAMP '1999-01-01'"
 BATCH = ">= TIMESTAMP '1998-01-01'"
-FIRST_LOAD = f"(SELECT * FROM so WHERE created_at {LOADED} AND payment_status <> 'P')"
+FIRST_LOAD = f"""(SELECT * REPLACE (
+    CASE WHEN payment_status = 'P' THEN 0 ELSE total_amount END AS total_amount,
+    CASE WHEN payment_status = 'P' THEN 0 ELSE tax_amount END AS tax_amount)
+    FROM so WHERE created_at {LOADED})"""
 BATCH_LOAD = f"(SELECT * FROM so WHERE created_at {BATCH})"
 
 
+PRODUCT_REVENUE = f"""SELECT product_title, {msum('total_sales_amount')} AS total_sales_amount
+    FROM ({inventory('it', 'so')}) GROUP BY 1"""
+
+
 def with_(ctes: str, body: str) -> str:
     return f"WITH {ctes} {body}"
 
@@ -153,7 +160,10 @@ POS_ORDERS = """SELECT 'T' || lid AS order_id, 'T' || lid AS order_number, 'pos'
     xc / 100.0::DOUBLE AS tax_amount, (pc + xc) / 100.0::DOUBLE AS total_amount,
     l_linestatus AS payment_method, 'PAID' AS payment_status, 'Store ' || l_suppkey AS region
     FROM pl"""
-POS_ITEMS = """SELECT sha256('T' || lid || '-' || xsku) AS order_item_id, 'T' || lid AS order_id,
+# The key of a SKU that an order lists again holds its number among them.
+AGAIN = """CASE row_number() OVER (PARTITION BY lid, xsku ORDER BY n)
+    WHEN 1 THEN '' ELSE '#' || row_number() OVER (PARTITION BY lid, xsku ORDER BY n) END"""
+POS_ITEMS = f"""SELECT sha256('T' || lid || '-' || xsku || {AGAIN}) AS order_item_id, 'T' || lid AS order_id,
     xsku AS sku, xtitle AS title, xqty AS quantity,
     CASE WHEN n = 1 THEN up ELSE xc / 100.0::DOUBLE END AS unit_price,
     CASE WHEN n = 1 THEN l_extendedprice ELSE xc / 100.0::DOUBLE END AS total_amount FROM px"""
@@ -182,7 +192,8 @@ AMAZON_ORDERS = """SELECT aid AS order_id, 'AMZ-' || lid AS order_number, 'amazo
     CASE WHEN l_returnflag IN ('A', 'R') THEN xc / 100.0::DOUBLE END AS tax_amount,
     (pc + xc) / 100.0::DOUBLE AS total_amount, 'COD' AS payment_method, 'PAID' AS payment_status,
     'Amazon.in' AS region FROM al"""
-AMAZON_ITEMS = """SELECT sha256(aid || '-' || xsku) AS order_item_id, aid AS order_id, xsku AS sku,
+AMAZON_ITEMS = f"""SELECT sha256(aid || '-' || xsku || {AGAIN.replace("lid", "aid")})
+    AS order_item_id, aid AS order_id, xsku AS sku,
     xtitle AS title, xqty AS quantity,
     CASE WHEN xqty <> 0 THEN xamt / xqty END AS unit_price, xamt AS total_amount FROM ax"""
 
@@ -287,20 +298,24 @@ EXPECTED = {
         )
         + " FROM so GROUP BY 1",
     ),
+    "days_in_order": with_(ORDERS, daily("so")),
     "recent_days": with_(
-        ORDERS, f"SELECT * FROM ({daily('so')}) ORDER BY sales_date DESC, channel LIMIT 20"
+        f"{ORDERS}, d AS ({daily('so')})",
+        "SELECT * FROM d WHERE sales_date IN "
+        "(SELECT DISTINCT sales_date FROM d ORDER BY 1 DESC LIMIT 20)",
     ),
+    "skus_by_units": with_(f"{ORDERS}, {ITEMS}", inventory("it", "so")),
     "top_skus_by_units": with_(
         f"{ORDERS}, {ITEMS}",
         f"SELECT * FROM ({inventory('it', 'so')}) "
         "ORDER BY units_sold DESC, total_sales_amount DESC, sales_date, sku LIMIT 20",
     ),
+    "products_by_revenue": with_(f"{ORDERS}, {ITEMS}", PRODUCT_REVENUE),
     "top_products_by_revenue": with_(
         f"{ORDERS}, {ITEMS}",
-        f"SELECT product_title, {msum('total_sales_amount')} AS total_sales_amount "
-        f"FROM ({inventory('it', 'so')}) GROUP BY 1 "
-        "ORDER BY total_sales_amount DESC, product_title LIMIT 20",
+        f"{PRODUCT_REVENUE} ORDER BY total_sales_amount DESC, product_title LIMIT 20",
     ),
+    "customers_by_spend": with_(ORDERS, customers("so")),
     "top_customers": with_(
         ORDERS,
         f"SELECT * FROM ({customers('so')}) "
@@ -338,6 +353,11 @@ EXPECTED = {
         ON l.order_id = f.order_id""",
     ),
     "union_items": with_(ALL_ITEMS, "SELECT * FROM ui"),
+    "item_totals": with_(
+        ALL_ITEMS,
+        f"SELECT channel_rank, COUNT(*) AS lines, CAST(SUM(quantity) AS BIGINT) AS units, "
+        f"{msum('total_amount')} AS amount FROM bo GROUP BY 1",
+    ),
     "union_products": with_(
         ALL_ITEMS,
         """SELECT sku, title, unit_price AS retail_price FROM (SELECT *, row_number() OVER (

@@ -1,13 +1,14 @@
 """Registered queries. Each reads whole tables and returns one frame."""
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import schemas as S
 from tradewind.checks import frames as T
-from tradewind.functions import decode_json, item_key
+from tradewind.functions import decode_json, item_key, money_sum
 from tradewind.operators import conform, contract, features, marts, quality, reports
 from tradewind.operators.dedupe import dedupe_latest, duplicate_keys
 from tradewind.operators.upsert import upsert_table
@@ -33,8 +34,11 @@ def _batch(df: DataFrame, c: str) -> DataFrame:
 
 
 def _first_load(orders: DataFrame) -> DataFrame:
-    """The early load did not have the orders still pending."""
-    return _loaded(orders, "created_at").filter("payment_status <> 'P'")
+    """The early load has all its orders; those then pending had no amount yet."""
+    pending = F.col("payment_status") == "P"
+    return _loaded(orders, "created_at").withColumns(
+        {c: F.when(~pending, F.col(c)).otherwise(F.lit(0.0)) for c in ("total_amount", "tax_amount")}
+    )
 
 
 # marts
@@ -63,20 +67,28 @@ def revenue_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.revenue_pivot(daily_revenue_channel(spark, sf_dir))
 
 
+def days_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.recent_days(daily_revenue_channel(spark, sf_dir))
+
+
 def recent_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.recent_days(daily_revenue_channel(spark, sf_dir), TOP)
 
 
-def top_skus_by_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_skus_by_units(inventory_turnover(spark, sf_dir), TOP)
+def _skus_by_units(n):
+    return lambda spark, sf_dir: reports.top_skus_by_units(inventory_turnover(spark, sf_dir), n)
 
 
-def top_products_by_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_products_by_revenue(inventory_turnover(spark, sf_dir), TOP)
+def _products_by_revenue(n):
+    return lambda spark, sf_dir: reports.top_products_by_revenue(
+        inventory_turnover(spark, sf_dir), n
+    )
 
 
-def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.plain(reports.top_customers(marts.customer_360(T.orders(spark, sf_dir)), TOP))
+def _customers_by_spend(n):
+    return lambda spark, sf_dir: T.plain(
+        reports.top_customers(marts.customer_360(T.orders(spark, sf_dir)), n)
+    )
 
 
 # latest version, keys
@@ -123,6 +135,23 @@ def union_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.plain(conform.conform_all(_all_latest(spark, sf_dir))[1])
 
 
+def item_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, units and amount by channel after its keys are made unique: those of all its lines."""
+    by_channel = [
+        conform.union_items({c: conform.CONFORM[c][1](_latest(spark, sf_dir, c))})
+        for c in S.CHANNELS
+    ]
+    return (
+        reduce(DataFrame.unionByName, by_channel)
+        .groupBy("channel_rank")
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            F.sum("quantity").alias("units"),
+            money_sum("total_amount").alias("amount"),
+        )
+    )
+
+
 def union_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.extract_products(conform.conform_all(_all_latest(spark, sf_dir))[1])
 
@@ -373,10 +402,14 @@ QUERIES = {
     "customer_360": customer_360,
     "kpi_totals": kpi_totals,
     "revenue_pivot": revenue_pivot,
+    "days_in_order": days_in_order,
     "recent_days": recent_days,
-    "top_skus_by_units": top_skus_by_units,
-    "top_products_by_revenue": top_products_by_revenue,
-    "top_customers": top_customers,
+    "skus_by_units": _skus_by_units(None),
+    "top_skus_by_units": _skus_by_units(TOP),
+    "products_by_revenue": _products_by_revenue(None),
+    "top_products_by_revenue": _products_by_revenue(TOP),
+    "customers_by_spend": _customers_by_spend(None),
+    "top_customers": _customers_by_spend(TOP),
     "dedupe_latest_items": dedupe_latest_items,
     "item_surrogate_key": item_surrogate_key,
     "item_key_collisions": item_key_collisions,
@@ -392,6 +425,7 @@ QUERIES = {
     "extract_products": extract_products,
     "union_channels": union_channels,
     "union_items": union_items,
+    "item_totals": item_totals,
     "union_products": union_products,
     "upsert_orders": upsert_orders,
     "upsert_items": upsert_items,

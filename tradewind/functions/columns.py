@@ -25,18 +25,20 @@ def timestamp(c: "str | Column") -> Column:
 
 
 def number(c: "str | Column") -> Column:
-    """Text as a double, null where it does not parse."""
-    return _col(c).try_cast("double")
+    """A value as a finite double, null where it does not parse or is NaN or infinite."""
+    value = _col(c).try_cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def whole(c: "str | Column") -> Column:
-    """A value as an int, null where it does not fit."""
-    return _col(c).try_cast("int")
+    """A value as an int, null where it is no whole number or does not fit; ``2.0`` is 2."""
+    value = number(c)
+    return F.when(value == F.floor(value), value.try_cast("int"))
 
 
 def cents(c: "str | Column") -> Column:
-    """An amount as whole cents."""
-    return F.rint(_col(c) * CENTS_PER_UNIT).cast("bigint")
+    """An amount as whole cents, null if it is not finite or too large for them."""
+    return F.rint(_col(c) * CENTS_PER_UNIT).try_cast("bigint")
 
 
 def from_cents(c: "str | Column") -> Column:

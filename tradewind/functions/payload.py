@@ -1,6 +1,6 @@
 """Decoding of JSON message payloads."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -8,6 +8,22 @@ ACCEPTED = "accepted"
 DEAD_LETTER = "dead_letter"
 
 
+def strict_json(text: Column, schema: T.DataType) -> Column:
+    """The one JSON value a text holds; null if it holds none, several, or anything after it.
+
+    A plain parse stops after the first value and says nothing of what follows. As the only element
+    of a list the value must end where the text does.
+    """
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema))
+    return F.when(F.size(listed) == 1, listed[0])
+
+
+def is_json(text: Column) -> Column:
+    """True if a text is one JSON value of any kind."""
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(T.StringType()))
+    return F.coalesce(F.size(listed) == 1, F.lit(False))
+
+
 def decode_json(df: DataFrame, payload: str, schema: T.StructType, keep: tuple = ()) -> DataFrame:
     """Bytes or text -> typed columns. A payload that does not parse gives all-null columns."""
     data = F.from_json(F.col(payload).cast("string"), schema)

@@ -28,18 +28,46 @@ LATEST = ("_ingest_time", "_ingest_file_name")
 # The raw columns silver is made of, besides the key.
 _USED = {
     "shopify": (
-        "name createdAt totalPriceSet subtotalPriceSet totalTaxSet email customer lineItems tags"
+        "name",
+        "createdAt",
+        "totalPriceSet",
+        "subtotalPriceSet",
+        "totalTaxSet",
+        "email",
+        "customer",
+        "lineItems",
+        "tags",
     ),
     "pos": (
-        "store_name timestamp items subtotal_amount tax_amount total_amount payment_method "
-        "customer_loyalty_id"
+        "store_name",
+        "timestamp",
+        "items",
+        "subtotal_amount",
+        "tax_amount",
+        "total_amount",
+        "payment_method",
+        "customer_loyalty_id",
     ),
     "distributor": (
-        "DistributorID Region InvoiceNumber InvoiceDate SKU Quantity UnitPrice TaxAmount "
-        "TotalAmount PaymentStatus"
+        "DistributorID",
+        "Region",
+        "InvoiceNumber",
+        "InvoiceDate",
+        "SKU",
+        "Quantity",
+        "UnitPrice",
+        "TaxAmount",
+        "TotalAmount",
+        "PaymentStatus",
     ),
     "amazon": (
-        "SellerOrderId PurchaseDate SalesChannel OrderTotal PaymentMethod BuyerEmail OrderItems"
+        "SellerOrderId",
+        "PurchaseDate",
+        "SalesChannel",
+        "OrderTotal",
+        "PaymentMethod",
+        "BuyerEmail",
+        "OrderItems",
     ),
 }
 
@@ -51,7 +79,7 @@ def latest_bronze(df: DataFrame, channel: str) -> DataFrame:
     rows that differ in them only are interchangeable.
     """
     key = BRONZE_KEYS[channel]
-    return dedupe_latest(df.select(key, *_USED[channel].split(), *LATEST), [key], LATEST)
+    return dedupe_latest(df.select(key, *_USED[channel], *LATEST), [key], LATEST)
 
 
 def shopify_orders(df: DataFrame) -> DataFrame:
@@ -84,7 +112,7 @@ def shopify_items(df: DataFrame) -> DataFrame:
         F.col("line.title").alias("title"),
         whole("line.quantity").alias("quantity"),
         price.alias("unit_price"),
-        (F.col("line.quantity") * price).alias("total_amount"),
+        (whole("line.quantity") * price).alias("total_amount"),
     )
 
 
@@ -97,25 +125,43 @@ def pos_orders(df: DataFrame) -> DataFrame:
         F.col("customer_loyalty_id").alias("customer_id"),
         F.lit(None).cast("string").alias("customer_email"),
         F.lit(S.HOME_CURRENCY).alias("currency"),
-        "subtotal_amount",
-        "tax_amount",
-        "total_amount",
+        *[number(c).alias(c) for c in ("subtotal_amount", "tax_amount", "total_amount")],
         "payment_method",
         F.lit(S.PAID).alias("payment_status"),
         F.col("store_name").alias("region"),
     )
 
 
+def _keyed_lines(df: DataFrame, order_id: str, items: str, sku: str) -> DataFrame:
+    """``order_id, line, order_item_id`` of every item; the key is that of order and SKU.
+
+    A SKU that an order lists again gets a key of its own, by its number among the order's lines of
+    that SKU: an upsert takes one row per key, and no line may be lost.
+    """
+    lines = df.select(
+        F.col(order_id).alias("order_id"),
+        F.col(items).alias("_items"),
+        F.posexplode(items).alias("_at", "line"),
+    )
+    same = F.filter(
+        F.slice("_items", F.lit(1), F.col("_at")),
+        lambda earlier: earlier[sku].eqNullSafe(F.col("line")[sku]),
+    )
+    part = F.when(F.size(same) == 0, F.col("line")[sku]).otherwise(
+        F.concat(F.col("line")[sku], F.lit("#"), (F.size(same) + 1).cast("string"))
+    )
+    return lines.select("order_id", "line", item_key("order_id", part).alias("order_item_id"))
+
+
 def pos_items(df: DataFrame) -> DataFrame:
-    lines = df.select(F.col("transaction_id").alias("order_id"), F.explode("items").alias("line"))
-    return lines.select(
-        item_key("order_id", "line.sku").alias("order_item_id"),
+    return _keyed_lines(df, "transaction_id", "items", "sku").select(
+        "order_item_id",
         "order_id",
         "line.sku",
         "line.title",
         whole("line.quantity").alias("quantity"),
-        "line.unit_price",
-        F.col("line.amount").alias("total_amount"),
+        number("line.unit_price").alias("unit_price"),
+        number("line.amount").alias("total_amount"),
     )
 
 
@@ -161,26 +207,20 @@ def distributor_items(df: DataFrame) -> DataFrame:
         F.col("SKU").alias("sku"),
         F.col("SKU").alias("title"),
         whole("Quantity").alias("quantity"),
-        F.col("UnitPrice").alias("unit_price"),
-        F.col("TotalAmount").alias("total_amount"),
-    )
-
-
-def _amazon_lines(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.col("AmazonOrderId").alias("order_id"), F.explode("OrderItems").alias("line")
+        number("UnitPrice").alias("unit_price"),
+        number("TotalAmount").alias("total_amount"),
     )
 
 
 def amazon_items(df: DataFrame) -> DataFrame:
     amount = number("line.ItemPrice.Amount")
-    return _amazon_lines(df).select(
-        item_key("order_id", "line.SellerSKU").alias("order_item_id"),
+    return _keyed_lines(df, "AmazonOrderId", "OrderItems", "SellerSKU").select(
+        "order_item_id",
         "order_id",
         F.col("line.SellerSKU").alias("sku"),
         F.col("line.Title").alias("title"),
         whole("line.QuantityOrdered").alias("quantity"),
-        F.try_divide(amount, F.col("line.QuantityOrdered")).alias("unit_price"),
+        F.try_divide(amount, whole("line.QuantityOrdered")).alias("unit_price"),
         amount.alias("total_amount"),
     )
 
@@ -278,16 +318,18 @@ def union_orders(by_channel: "dict[str, DataFrame]") -> DataFrame:
 def union_items(by_channel: "dict[str, DataFrame]") -> DataFrame:
     """Conformed items of all channels, one row per item key; the later channel wins.
 
-    Item keys also repeat when one order lists a SKU twice. One of those rows is kept, as an
-    upsert can take one only; ``duplicate_keys`` on the input tells how many. ``channel_rank``
-    stays on the result for ``extract_products``.
+    Items without a key all stay, for the gate to count. ``channel_rank`` stays on the result for
+    ``extract_products``.
     """
     ranked = [
         by_channel[c].withColumn("channel_rank", F.lit(S.CHANNEL_PRIORITY[c]))
         for c in S.CHANNELS
         if c in by_channel
     ]
-    return dedupe_latest(_union(ranked), ["order_item_id"], ["channel_rank"])
+    # a key of its own for every item that has none, so they are neither merged nor one task's work
+    alone = F.when(F.col("order_item_id").isNull(), F.monotonically_increasing_id())
+    rows = _union(ranked).withColumn("_alone", alone)
+    return dedupe_latest(rows, ["order_item_id", "_alone"], ["channel_rank"]).drop("_alone")
 
 
 def conform_all(bronze: "dict[str, DataFrame]") -> "tuple[DataFrame, DataFrame]":

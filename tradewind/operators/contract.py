@@ -13,13 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewind.functions.payload import is_json, strict_json
 from tradewind.operators.joins import split_join
 from tradewind.schemas import record
 
 STRING, OBJECT, NUMBER, ARRAY = "string", "object", "number", "array"
-ENVELOPE = "$.data.orders.edges"
-LARGE_TEXT = 4 * 1024 * 1024
-LARGE_DOCUMENT = record(data=record(orders=record(edges=T.ArrayType(T.VariantType()))))
+DOCUMENT = record(data=record(orders=record(edges=T.ArrayType(T.VariantType()))))
 
 
 @dataclass(frozen=True)
@@ -101,16 +100,12 @@ def contract_errors(edge: Column, contract=SHOPIFY_CONTRACT) -> Column:
     ).otherwise(F.array(F.lit("node: type")))
 
 
-def _edges(text: Column, document: Column) -> Column:
-    """The edge list of a document, null if it has none.
+def _edges(text: Column) -> Column:
+    """The edge list of a document, null if it has none or the text is not one JSON value.
 
-    A VARIANT holds 16 MB at most. A document too large for that is read edge by edge.
+    Edges are read one by one: a VARIANT holds 16 MB at most, a document of any size may have more.
     """
-    is_large = document.isNull() & (F.octet_length(text) > LARGE_TEXT)
-    return F.coalesce(
-        F.try_variant_get(document, ENVELOPE, "array<variant>"),
-        F.when(is_large, F.from_json(text, LARGE_DOCUMENT)["data"]["orders"]["edges"]),
-    )
+    return strict_json(text, DOCUMENT)["data"]["orders"]["edges"]
 
 
 def check_documents(documents: DataFrame, contract=SHOPIFY_CONTRACT) -> DataFrame:
@@ -129,28 +124,26 @@ def check_documents(documents: DataFrame, contract=SHOPIFY_CONTRACT) -> DataFram
     def of_document(error: str) -> Column:
         return F.array(listed(F.lit(None), F.lit(error)))
 
-    parsed = documents.withColumn("_doc", F.try_parse_json("text"))
     return (
-        parsed.withColumn("_edges", _edges(F.col("text"), F.col("_doc")))
+        documents.withColumn("_edges", _edges(F.col("text")))
         .withColumns(
             {
                 "n_records": F.coalesce(F.size("_edges"), F.lit(0)),
                 "errors": F.when(
                     F.col("_edges").isNotNull(), F.flatten(F.transform("_edges", of_edge))
                 )
-                .when(F.col("_doc").isNull(), of_document("invalid json"))
-                .otherwise(of_document("no envelope")),
+                .when(is_json(F.col("text")), of_document("no envelope"))
+                .otherwise(of_document("invalid json")),
             }
         )
-        .drop("_doc", "_edges")
+        .drop("_edges")
     )
 
 
 def document_passes(text: "str | Column", contract=SHOPIFY_CONTRACT) -> Column:
     """True if a document has its envelope and no record breaks the contract."""
     text = F.col(text) if isinstance(text, str) else text
-    edges = _edges(text, F.try_parse_json(text))
-    clean = F.forall(edges, lambda edge: F.size(contract_errors(edge, contract)) == 0)
+    clean = F.forall(_edges(text), lambda edge: F.size(contract_errors(edge, contract)) == 0)
     return F.coalesce(clean, F.lit(False))
 
 

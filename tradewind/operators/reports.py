@@ -1,4 +1,7 @@
-"""Dashboard queries over the gold marts. Lists are top-n by design of the report."""
+"""Dashboard queries over the gold marts.
+
+A list is the whole mart in the report's order; with ``n`` it is that order's first n.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,28 +32,36 @@ def revenue_pivot(daily_revenue: DataFrame) -> DataFrame:
     )
 
 
-def recent_days(daily_revenue: DataFrame, n: int) -> DataFrame:
-    """The newest rows of the daily matrix; channels of one day in name order."""
-    return daily_revenue.orderBy(F.desc("sales_date"), "channel").limit(n)
+def _first(ordered: DataFrame, n: "int | None") -> DataFrame:
+    return ordered if n is None else ordered.limit(n)
+
+
+def recent_days(daily_revenue: DataFrame, n: "int | None" = None) -> DataFrame:
+    """The daily matrix, newest day first, channels of one day in name order; with ``n`` the
+    newest n days, each with all its channels."""
+    rows = daily_revenue
+    if n is not None:
+        days = rows.select("sales_date").distinct().orderBy(F.desc("sales_date")).limit(n)
+        rows = rows.join(days.withColumnRenamed("sales_date", "_day"), F.col("sales_date") == F.col("_day"), "left_semi")
+    return rows.orderBy(F.desc("sales_date"), "channel")
 
 
-def top_skus_by_units(inventory: DataFrame, n: int) -> DataFrame:
+def top_skus_by_units(inventory: DataFrame, n: "int | None" = None) -> DataFrame:
     """Mart rows with the most units; ties by amount, then day and SKU."""
-    return inventory.orderBy(
-        F.desc("units_sold"), F.desc("total_sales_amount"), "sales_date", "sku"
-    ).limit(n)
+    return _first(
+        inventory.orderBy(F.desc("units_sold"), F.desc("total_sales_amount"), "sales_date", "sku"),
+        n,
+    )
 
 
-def top_products_by_revenue(inventory: DataFrame, n: int) -> DataFrame:
+def top_products_by_revenue(inventory: DataFrame, n: "int | None" = None) -> DataFrame:
     """Product titles by revenue over all days."""
-    return (
-        inventory.groupBy("product_title")
-        .agg(money_sum("total_sales_amount").alias("total_sales_amount"))
-        .orderBy(F.desc("total_sales_amount"), "product_title")
-        .limit(n)
+    revenue = inventory.groupBy("product_title").agg(
+        money_sum("total_sales_amount").alias("total_sales_amount")
     )
+    return _first(revenue.orderBy(F.desc("total_sales_amount"), "product_title"), n)
 
 
-def top_customers(customers: DataFrame, n: int) -> DataFrame:
+def top_customers(customers: DataFrame, n: "int | None" = None) -> DataFrame:
     """Customers by spend."""
-    return customers.orderBy(F.desc_nulls_last("total_spend"), "customer_id").limit(n)
+    return _first(customers.orderBy(F.desc_nulls_last("total_spend"), "customer_id"), n)

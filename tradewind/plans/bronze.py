@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind import schemas as S
-from tradewind.functions.payload import ACCEPTED, DEAD_LETTER, route_decoded
+from tradewind.functions.payload import ACCEPTED, DEAD_LETTER, route_decoded, strict_json
 from tradewind.operators.contract import document_passes
 from tradewind.sinks.lake import append_bronze
-from tradewind.sources.drops import drop_documents, read_distributor
+from tradewind.sources.drops import drop_documents
 from tradewind.sources.meta import with_ingest_meta
-from tradewind.streaming.ingest import stream_append, stream_documents, stream_pos, stream_rows
+from tradewind.streaming.ingest import stream_append, stream_documents, stream_pos
 
 BRONZE_NAME = {
     "shopify": "shopify_orders",
@@ -25,6 +25,7 @@ BRONZE_NAME = {
     "amazon": "amazon_sales",
 }
 PARTITIONS = ("route", "ingest_date")
+SUFFIX = {"distributor": "*.csv"}
 
 
 def _routed(
@@ -59,19 +60,21 @@ def _routed(
 
 def shopify_bronze(documents: DataFrame) -> DataFrame:
     """Order nodes of documents that keep the contract."""
-    parsed = F.from_json("text", S.SHOPIFY_DROP)
+    parsed = strict_json(F.col("text"), S.SHOPIFY_DROP)
     return _routed(documents, parsed["data"]["orders"]["edges"]["node"], document_passes("text"))
 
 
 def amazon_bronze(documents: DataFrame) -> DataFrame:
     """Orders of documents that have an ``Orders`` list."""
-    orders = F.from_json("text", S.AMAZON_DROP)["Orders"]
-    return _routed(documents, orders, orders.isNotNull())
+    orders = strict_json(F.col("text"), S.AMAZON_DROP)["Orders"]
+    return _routed(documents, orders, orders.isNotNull(), "AmazonOrderId")
 
 
 def pos_bronze(documents: DataFrame) -> DataFrame:
-    """A drop is an array of transactions."""
-    drop = F.from_json("text", T.ArrayType(S.POS_TRANSACTION))
+    """A drop is an array of transactions; a line of a line drop may be one transaction."""
+    listed = strict_json(F.col("text"), T.ArrayType(S.POS_TRANSACTION))
+    one = strict_json(F.col("text"), S.POS_TRANSACTION)
+    drop = F.coalesce(listed, F.when(one.isNotNull(), F.array(one)))
     return _routed(documents, drop, drop.isNotNull(), "transaction_id")
 
 
@@ -86,12 +89,50 @@ def distributor_bronze(rows: DataFrame) -> DataFrame:
     )
 
 
+def distributor_documents(documents: DataFrame, whole_files: bool = True) -> DataFrame:
+    """Lines of CSV drops. A file with another header is one dead letter, a line with another
+    number of fields, a value of the wrong type or no transaction id is one by itself.
+
+    Without ``whole_files`` a document is a line, and a line that is the header is passed over.
+    """
+    names = S.DISTRIBUTOR_ROW.fieldNames()
+    header = ",".join(names)
+    lines = F.split(F.regexp_replace("text", "^\\uFEFF|\\r", ""), "\n")
+    known = F.get(lines, F.lit(0)) == header if whole_files else F.lit(True)
+    rows = documents.select(
+        F.col("file").alias("_file"),
+        F.explode(F.when(known, lines).otherwise(F.array("text"))).alias("_line"),
+        known.alias("_known"),
+    ).filter(~F.col("_known") | ((F.col("_line") != header) & (F.trim("_line") != "")))
+    schema = T.StructType([*S.DISTRIBUTOR_ROW.fields, T.StructField("_corrupt", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = F.from_csv("_line", schema.simpleString()[7:-1].replace(":", " "), options)
+    rows = rows.withColumn("_row", F.when(F.col("_known"), parsed))
+    dead = (
+        ~F.col("_known")
+        | F.col("_row._corrupt").isNotNull()
+        | F.col("_row.TransactionID").isNull()
+    )
+    return rows.withColumn("dead_payload", F.when(dead, F.col("_line"))).select(
+        "_file",
+        *[F.col(f"_row.{n}").alias(n) for n in names],
+        "dead_payload",
+        F.when(F.col("dead_payload").isNull(), F.lit(ACCEPTED))
+        .otherwise(F.lit(DEAD_LETTER))
+        .alias("route"),
+    )
+
+
 DOCUMENT_TRANSFORM = {"shopify": shopify_bronze, "amazon": amazon_bronze, "pos": pos_bronze}
 
 
-def channel_rows(channel: str, raw: DataFrame, file_name=None, ingest_time=None) -> DataFrame:
+def channel_rows(
+    channel: str, raw: DataFrame, file_name=None, ingest_time=None, whole_files: bool = True
+) -> DataFrame:
     """Raw documents, rows or messages of a channel -> routed bronze rows with lineage."""
-    if channel in DOCUMENT_TRANSFORM and "text" in raw.columns:
+    if channel == "distributor" and "text" in raw.columns:
+        routed = distributor_documents(raw, whole_files)
+    elif channel in DOCUMENT_TRANSFORM and "text" in raw.columns:
         routed = DOCUMENT_TRANSFORM[channel](raw)
     elif channel == "pos":
         routed = pos_message_bronze(raw)
@@ -102,15 +143,20 @@ def channel_rows(channel: str, raw: DataFrame, file_name=None, ingest_time=None)
 
 
 def ingest_batch(
-    spark: SparkSession, channel: str, landing: str, path: str, ingest_time=None
+    spark: SparkSession,
+    channel: str,
+    landing: str,
+    path: str,
+    ingest_time=None,
+    whole_files: bool = True,
 ) -> None:
-    """Append a landing directory to a bronze path as one job. It does not remember files."""
-    raw = (
-        read_distributor(spark, landing)
-        if channel == "distributor"
-        else drop_documents(spark, landing)
-    )
-    append_bronze(channel_rows(channel, raw, ingest_time=ingest_time), path, PARTITIONS)
+    """Append a landing directory to a bronze path as one job. It does not remember files.
+
+    ``whole_files=False`` takes every line of a JSON drop as a document of its own.
+    """
+    raw = drop_documents(spark, landing, whole_files, SUFFIX.get(channel, "*.json"))
+    rows = channel_rows(channel, raw, ingest_time=ingest_time, whole_files=whole_files)
+    append_bronze(rows, path, PARTITIONS)
 
 
 def ingest_stream(
@@ -123,30 +169,23 @@ def ingest_stream(
     trigger: "dict | None" = None,
     kafka: "dict | None" = None,
     files_per_trigger: "int | None" = None,
+    whole_files: bool = True,
 ):
     """Load every new file, or Kafka message, of a channel once; returns the running query.
 
     ``trigger={"availableNow": True}`` is the scheduled form, the default the continuous one.
     With ``kafka`` options the POS topic is read instead of the landing directory. A backlog
     is worked off in steps with ``files_per_trigger`` or the Kafka option maxOffsetsPerTrigger;
-    both only size the steps.
+    both only size the steps. ``whole_files=False`` takes every line of a JSON drop as a document.
     """
     if kafka is not None:
         raw = stream_pos(spark, options=kafka)
-    elif channel == "distributor":
-        raw = stream_rows(
-            spark,
-            landing,
-            S.DISTRIBUTOR_ROW,
-            "csv",
-            "*.csv",
-            archive,
-            {"header": True, "enforceSchema": False},
-            files_per_trigger,
-        )
     else:
-        raw = stream_documents(spark, landing, archive, files_per_trigger)
-    return stream_append(channel_rows(channel, raw), path, checkpoint, trigger, PARTITIONS)
+        raw = stream_documents(
+            spark, landing, archive, files_per_trigger, whole_files, SUFFIX.get(channel, "*.json")
+        )
+    rows = channel_rows(channel, raw, whole_files=whole_files)
+    return stream_append(rows, path, checkpoint, trigger, PARTITIONS)
 
 
 def bronze_table(

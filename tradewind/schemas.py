@@ -45,7 +45,7 @@ SHOPIFY_NODE = record(
                 node=record(
                     id=STRING,
                     title=STRING,
-                    quantity=INT,
+                    quantity=STRING,
                     sku=STRING,
                     variant=record(price=STRING, sku=STRING),
                 )
@@ -79,8 +79,8 @@ AMAZON_ORDER = record(
             ASIN=STRING,
             SellerSKU=STRING,
             Title=STRING,
-            QuantityOrdered=INT,
-            QuantityShipped=INT,
+            QuantityOrdered=STRING,
+            QuantityShipped=STRING,
             ItemPrice=_AMAZON_MONEY,
             ItemTax=_AMAZON_MONEY,
         )
@@ -96,7 +96,7 @@ POS_TRANSACTION = record(
     timestamp=STRING,
     cashier_id=STRING,
     items=listing(
-        record(sku=STRING, title=STRING, quantity=INT, unit_price=DOUBLE, amount=DOUBLE)
+        record(sku=STRING, title=STRING, quantity=STRING, unit_price=DOUBLE, amount=DOUBLE)
     ),
     subtotal_amount=DOUBLE,
     tax_amount=DOUBLE,

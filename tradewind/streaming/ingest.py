@@ -50,10 +50,11 @@ def stream_documents(
     archive: "str | None" = None,
     per_trigger: "int | None" = None,
     whole_files: bool = True,
+    suffix: str = "*.json",
 ) -> DataFrame:
-    """JSON drops as they land, one row per document: ``file``, ``text``."""
+    """Drops as they land, one row per document: ``file``, ``text``."""
     return (
-        _files(spark, "*.json", archive, per_trigger)
+        _files(spark, suffix, archive, per_trigger)
         .format("text")
         .option("wholetext", whole_files)
         .load(path)
