@@ -12,7 +12,7 @@ from tradewind.operators.features import lookup_features
 from tradewind.operators.marts import inventory_turnover
 from tradewind.operators.quality import UNIQUE, Rule, violations
 from tradewind.operators.upsert import upsert
-from tradewind.plans.silver import latest_rows
+from tradewind.plans.silver import keep_real_titles, latest_rows
 from tradewind.schemas import BRONZE
 from tradewind.sources.lake import align
 
@@ -187,3 +187,11 @@ def test_a_hot_key_sends_one_row_per_task(spark, tmp_path):
     latest = dedupe_latest(rows, ["k"], ["id"])
     got = {r["k"]: r["id"] for r in latest.collect()}
     assert len(got) == N - N // 3 + 1 and got["hot"] == N - 3
+
+
+def test_a_placeholder_never_replaces_a_title(spark):
+    kind = "sku string, title string, retail_price double"
+    current = spark.createDataFrame([("A", "Socks", 1.0), ("B", "B", 1.0), ("C", None, 1.0)], kind)
+    new = [("A", "A", 2.0), ("B", "B", 2.0), ("C", "C", 2.0), ("D", "D", 2.0), (None, None, 2.0)]
+    found = keep_real_titles(spark.createDataFrame([*new, ("A2", "Hat", 2.0)], kind), current)
+    assert sorted(str(r["sku"]) for r in found.collect()) == ["A2", "B", "C", "D", "None"]
