@@ -220,17 +220,8 @@ def _near(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     return both.filter(alike >= F.lit(least) * F.size("sa")).select("a", "b")
 
 
-def _confirmed(
-    pairs: DataFrame, texts: DataFrame, words: int, percent: int, work: _Work
-) -> DataFrame:
-    """Pairs whose full sets have the wanted similarity. ``texts``: one ``id, text`` per class."""
-    wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
-    sets = work.kept(
-        texts.join(wanted, F.col("id") == F.col("w"), "left_semi")
-        .dropDuplicates(["id"])
-        .mapInPandas(_sets(words), "id long, set binary"),
-        "sets",
-    )
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets have the wanted similarity. ``sets``: ``id, set`` of every class."""
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -243,9 +234,11 @@ def _confirmed(
             out.append(100 * common >= percent * (len(x) + len(y) - common))
         return pd.Series(out)
 
+    left = sets.select(F.col("id").alias("_a"), F.col("set").alias("sa"))
+    right = sets.select(F.col("id").alias("_b"), F.col("set").alias("sb"))
     return (
-        pairs.join(sets.select(F.col("id").alias("_a"), F.col("set").alias("sa")), F.col("a") == F.col("_a"))
-        .join(sets.select(F.col("id").alias("_b"), F.col("set").alias("sb")), F.col("b") == F.col("_b"))
+        pairs.join(left, F.col("a") == F.col("_a"))
+        .join(right, F.col("b") == F.col("_b"))
         .filter(linked("sa", "sb"))
         .select("a", "b")
     )
@@ -357,8 +350,6 @@ def near_duplicates(
         .dropDuplicates(["id"]),
         "signatures",
     )
-    texts = rows.withColumnRenamed("key", "id")
-
     regions = work.kept(_regions(classes, trees, values), "regions")
     shared = work.kept(
         regions.groupBy(F.col("region").alias("r"))
@@ -372,6 +363,16 @@ def near_duplicates(
         ),
         "members",
     )
+    # The full sets of all classes that are in a region with others, once: texts pass through one
+    # shuffle, keyed by the class, whatever the size of the list of classes.
+    met = members.select(F.col("id").alias("_met")).distinct().hint("merge")
+    sets = work.kept(
+        rows.withColumnRenamed("key", "id")
+        .join(met, F.col("id") == F.col("_met"), "left_semi")
+        .dropDuplicates(["id"])
+        .mapInPandas(_sets(words), "id long, set binary"),
+        "sets",
+    )
     # every member with its region's first; the one a member meets most often is tried at once
     stars = work.kept(
         members.filter("id <> first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("times")),
@@ -385,7 +386,7 @@ def near_duplicates(
         .select(F.col("id").alias("a"), (-F.col("best.first")).alias("b"))
     )
     tried = work.kept(_near(best, classes, least), "tried")
-    links = work.kept(_confirmed(tried, texts, words, percent, work), "links")
+    links = work.kept(_confirmed(tried, sets, percent), "links")
     group = work.kept(components(links, work), "groups")
 
     def linked_too(pairs: DataFrame) -> None:
@@ -397,7 +398,7 @@ def near_duplicates(
             "left_anti",
         )
         near = work.kept(_near(new, classes, least), "tried")
-        more = work.kept(_confirmed(near, texts, words, percent, work), "links")
+        more = work.kept(_confirmed(near, sets, percent), "links")
         tried = tried.union(near)
         if not more.isEmpty():
             links = links.union(more)
@@ -408,7 +409,7 @@ def near_duplicates(
     linked_too(
         stars.select(F.col("id").alias("a"), F.col("first").alias("b"))
         .union(_cross_pairs(
-                members, group, classes, texts, words, percent, trees, values, work
+                members, group, classes, sets, percent, trees, values, work
             ))
         .distinct()
     )
@@ -435,8 +436,7 @@ def _cross_pairs(
     members: DataFrame,
     group: DataFrame,
     classes: DataFrame,
-    texts: DataFrame,
-    words: int,
+    sets: DataFrame,
     percent: int,
     trees: int,
     values: int,
@@ -473,30 +473,25 @@ def _cross_pairs(
         )
         least = 2
     if crowded is not None:
-        found = found.union(_rare_pairs(crowded, texts, words, percent, work))
+        found = found.union(_rare_pairs(crowded, sets, percent, work))
     return found
 
 
-def _shingle_rows(words: int):
-    def run(frames: "Iterator[pd.DataFrame]") -> "Iterator[pd.DataFrame]":
-        for frame in frames:
-            sets = shingle_sets(frame["text"].fillna("").tolist(), words)
-            sizes = [len(s) for s in sets]
-            yield pd.DataFrame(
-                {
-                    "id": np.repeat(frame["id"].to_numpy(), sizes),
-                    "group": np.repeat(frame["group"].to_numpy(), sizes),
-                    "size": np.repeat(np.array(sizes, dtype=np.int64), sizes),
-                    "shingle": np.concatenate([s[:0] for s in sets] + sets).view(np.int64),
-                }
-            )
-
-    return run
+def _shingle_rows(frames: "Iterator[pd.DataFrame]") -> "Iterator[pd.DataFrame]":
+    for frame in frames:
+        sets = [np.frombuffer(bits, dtype=np.int64) for bits in frame["set"]]
+        sizes = [len(s) for s in sets]
+        yield pd.DataFrame(
+            {
+                "id": np.repeat(frame["id"].to_numpy(), sizes),
+                "group": np.repeat(frame["group"].to_numpy(), sizes),
+                "size": np.repeat(np.array(sizes, dtype=np.int64), sizes),
+                "shingle": np.concatenate([np.zeros(0, dtype=np.int64), *sets]),
+            }
+        )
 
 
-def _rare_pairs(
-    crowded: DataFrame, texts: DataFrame, words: int, percent: int, work: _Work
-) -> DataFrame:
+def _rare_pairs(crowded: DataFrame, sets: DataFrame, percent: int, work: _Work) -> DataFrame:
     """Every pair of ``crowded`` (``id, group``) that can reach the threshold, in different groups.
 
     Two sets that are similar enough share one of the rarest ``size - ceil(size * percent / 100) +
@@ -504,10 +499,9 @@ def _rare_pairs(
     """
     wanted = work.kept(crowded, "crowded")
     rows = work.kept(
-        texts.join(wanted.withColumnRenamed("id", "_w"), F.col("id") == F.col("_w"))
-        .dropDuplicates(["id"])
-        .select("id", "group", "text")
-        .mapInPandas(_shingle_rows(words), "id long, group long, size long, shingle long"),
+        sets.join(wanted.withColumnRenamed("id", "_w"), F.col("id") == F.col("_w"))
+        .select("id", "group", "set")
+        .mapInPandas(_shingle_rows, "id long, group long, size long, shingle long"),
         "shingles",
     )
     often = rows.groupBy(F.col("shingle").alias("_s")).agg(F.count(F.lit(1)).alias("often"))
