@@ -22,7 +22,7 @@ from tradewind.llm import vectext as V
 from tradewind.llm.sampling import sample_by_label
 
 UNDETERMINED = "und"
-PER_LANGUAGE = 1200
+PER_LANGUAGE = 500
 BITS = 15
 SIZE = 16
 GRAMS = (2, 3, 4)
@@ -108,17 +108,22 @@ def fit(labelled: DataFrame, key: str = "doc_id", seed: int = 17, **sizes) -> La
         _counts(bits), "label string, bucket binary, n binary"
     ).collect()
     # row order depends on the tasks; the fit must not
-    rows = sorted(rows, key=lambda r: (r["label"], bytes(r["bucket"]), bytes(r["n"])))
-    languages = sorted({r["label"] for r in rows})
+    rows = [(r["label"], bytes(r["bucket"]), bytes(r["n"])) for r in rows]
+    rows.sort()
+    languages = sorted({label for label, _, _ in rows})
     if not languages:
         return LanguageModel([], np.zeros((0, 1 << bits)), np.zeros(0), 1.0, 0.0, bits)
     place = {name: i for i, name in enumerate(languages)}
-    target = np.array([place[r["label"]] for r in rows])
-    used = [np.frombuffer(bytes(r["bucket"]), dtype="<i4") for r in rows]
-    share = [np.frombuffer(bytes(r["n"]), dtype="<f4") for r in rows]
-    share = [n / n.sum(dtype=np.float64) for n in share]
+    target = np.array([place[label] for label, _, _ in rows])
+    # two long arrays, cut by document, instead of many small ones
+    at = np.append(0, np.cumsum([len(bits) // 4 for _, bits, _ in rows]))[:-1][1:]
+    used = np.split(np.frombuffer(b"".join(bits for _, bits, _ in rows), dtype="<i4"), at)
+    share = np.split(np.frombuffer(b"".join(bits for _, _, bits in rows), dtype="<f4").copy(), at)
+    del rows
+    for n in share:
+        n /= n.sum()
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(rows))
+    order = rng.permutation(len(used))
     back, front = order[::HELD_BACK], np.setdiff1d(order, order[::HELD_BACK])
     if not len(front):
         back, front = order, order
