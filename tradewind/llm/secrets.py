@@ -243,10 +243,10 @@ def find_secrets(
     start_ledger(spark, ledger)
     addresses = address(docs, key, text)
     scan_unseen(docs, addresses, ledger, rules, key, text)
-    known = read_ledger(spark, ledger).select(F.col("blob").alias("known"), "found")
-    return addresses.join(
-        known.filter(F.size("found") > 0), F.col("blob") == F.col("known"), "left"
-    ).select(F.col("key").alias(key), "blob", ordered_spans(F.col("found"), rules).alias("found"))
+    place = shared_dir(spark, "secrets-found")
+    read_ledger(spark, ledger).filter(F.size("found") > 0).write.parquet(place)
+    known = spark.read.parquet(place).select(F.col("blob").alias("known"), "found")
+    return addresses.join(known, F.col("blob") == F.col("known"), "left").select(F.col("key").alias(key), "blob", ordered_spans(F.col("found"), rules).alias("found"))
 
 
 def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
