@@ -232,7 +232,10 @@ def _train(feature: np.ndarray, first: np.ndarray, y: np.ndarray, bits: int) ->
     seen[2] = (pair_before * pair_after).sum()
     begins = first[:-1][np.diff(first) > 0]
     seen[3] = y[begins].sum()
-    used = np.unique(feature)
+    used = np.zeros(size, dtype=bool)
+    for row in feature:
+        used[row] = True
+    used = np.flatnonzero(used)
     for _ in range(STEPS):
         odds = own_odds(model, feature)
         forward, backward = forward_backward(odds, first, model.tie)
@@ -295,26 +298,27 @@ def fit(
         .mapInPandas(_features(bits), "label int, feature binary")
         .collect()
     )
-    # row order depends on the tasks; the fit must not
-    rows = sorted(rows, key=lambda r: (r["label"], bytes(r["feature"])))
-    y = np.array([r["label"] for r in rows], dtype=int)
+    # row order depends on the tasks; the fit must not. Each part is held once
+    rows = [(r["label"], bytes(r["feature"])) for r in rows]
+    rows.sort()
+    y = np.array([label for label, _ in rows], dtype=int)
     none = ToxicityModel(np.zeros(1 << bits), -_LIMIT, np.zeros(4), np.zeros(3), bits)
     if len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.5
         none.curve = np.array([0.0, 0.0, np.log((share + 1e-6) / (1 - share + 1e-6))])
         return none
-    features = [
-        np.frombuffer(bytes(r["feature"]), dtype="<i4").reshape(KINDS, -1) for r in rows
-    ]
+    features = [np.frombuffer(bits, dtype="<i4").reshape(KINDS, -1) for _, bits in rows]
     tokens = toxic_tokens(features, y, bits)
     # a toxic document without a toxic token tells nothing about its words
     train = [i for i in range(len(rows)) if y[i] == 0 or tokens[i].any()]
     joined = np.concatenate([features[i] for i in train], axis=1)
     first = np.append(0, np.cumsum([features[i].shape[1] for i in train]))
     model = _train(joined, first, np.concatenate([tokens[i] for i in train]), bits)
-    joined = np.concatenate(features, axis=1)
+    del joined
     first = np.append(0, np.cumsum([f.shape[1] for f in features]))
-    p = marginals(model, Words(first, first, first, joined))
+    odds = np.concatenate([own_odds(model, f) for f in features])
+    forward, backward = forward_backward(odds, first, model.tie)
+    p = forward * backward / (1 + forward * backward)
     of_class = np.array([shares.get(k, 0) / max((y == k).sum(), 1) for k in (0, 1)])
     model.curve = _curve(_document_features(p, first), y, of_class[y] / of_class.max())
     model.weight = model.weight.astype(np.float32)
