@@ -75,13 +75,6 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def _any_of(words: "list[str]") -> str:
-    """Pattern that finds one of the words as a whole word, in either case of A-Z."""
-    # a character of a word on neither side
-    aside = "[0-9A-Za-z\\x{80}-\\x{10FFFF}]"
-    return f"(?i)(?<!{aside})(?:{'|'.join(words)})(?!{aside})"
-
-
 def word_order(
     docs: DataFrame, templates: "tuple[Template, ...]", text: str = "text"
 ) -> "list[str]":
@@ -92,17 +85,14 @@ def word_order(
     known = sorted({w for t in templates for w in t.words})
     counted = (
         docs.select(
-            F.explode(
-                F.regexp_extract_all(F.col(text), F.lit(_any_of(known)), F.lit(0))
-            ).alias("word")
+            F.explode(_words(small_letters(F.col(text)))).alias("word")
         )
+        .filter(F.col("word").isin(known))
         .groupBy("word")
         .count()
-        .groupBy(small_letters(F.col("word")).alias("word"))
-        .agg(F.sum("count").alias("n"))
         .collect()
     )
-    often = {r["word"]: r["n"] for r in counted}
+    often = {r["word"]: r["count"] for r in counted}
     return sorted(known, key=lambda w: (often.get(w, 0), w))
 
 
@@ -159,17 +149,13 @@ def similar_blocks(
         }
     )
     ranks = F.create_map(*[F.lit(x) for w, i in rank.items() for x in (w, i)])
-    holds = _any_of(prefix)
+    rare = F.array(*[F.lit(w) for w in prefix])
     blocks = (
-        docs.filter(F.col(text).rlike(holds))
+        docs.filter(F.arrays_overlap(_words(small_letters(F.col(text))), rare))
         .select(*keys, F.posexplode(F.split(F.col(text), "\n", -1)).alias("block", "_line"))
-        .filter(F.col("_line").rlike(holds))
-        .withColumn(
-            "_have",
-            F.array_intersect(
-                _words(small_letters(F.col("_line"))), F.array(*[F.lit(w) for w in order])
-            ),
-        )
+        .withColumn("_have", _words(small_letters(F.col("_line"))))
+        .filter(F.arrays_overlap("_have", rare))
+        .withColumn("_have", F.array_intersect("_have", F.array(*[F.lit(w) for w in order])))
         .select(
             *keys,
             "block",
