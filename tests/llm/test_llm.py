@@ -531,6 +531,26 @@ def test_blocks_are_those_of_every_comparison(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_notices_are_found_however_the_text_is_wrapped(spark):
+    rng = np.random.default_rng(5)
+    fill = [f"x{i}" for i in range(30)]
+    texts, want = [], []
+    for template in licenses.TEMPLATES:
+        words = template.text.split()
+        for cut in range(1, len(words)):
+            before = rng.choice(fill, int(rng.integers(0, 60))).tolist()
+            notice = [*words[:cut], "\n// ", *words[cut:]]
+            texts.append(" ".join([*before, *notice, *rng.choice(fill, 40)]))
+            want.append(template.label)
+    # the words of a notice far apart in one long line are no notice
+    scattered = licenses.TEMPLATES[10].text.split()
+    texts.append(" ".join(" ".join([w, *rng.choice(fill, 30)]) for w in scattered))
+    rows = {r["doc_id"]: r for r in licenses.scan(documents(spark, *texts)).collect()}
+    for i, label in enumerate(want):
+        assert label in {s["label"] for s in rows[i]["similar"]}, texts[i]
+    assert rows[len(want)]["similar"] == [] and rows[len(want)]["score"] == 0.0
+
+
 def test_phrases_and_words(spark):
     docs = documents(
         spark, None, "Under the MIT-license, cc by\nnc CC-BY-NC éa", "under the mitx license", "x"

@@ -1,7 +1,9 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text; block and template are sets of words. A block belongs to a template if
-it holds at least ``percent`` of the template's words. Words are ordered by how often the corpus has
+A block is a window of a text's words: twice as long as the longest template, one at every length of
+it, so that each run as long as a template lies in one, however the text is wrapped. (Lines can be
+taken as blocks too.) Block and template are sets of words. A block belongs to a template if it holds
+at least ``percent`` of the template's words. Words are ordered by how often the corpus has
 them, rarest first. A block that contains enough of a template must hold one of the template's
 rarest ``size - needed + 1`` words (prefix filter), must have as many template words as are needed
 (length filter), and what follows the first common word on either side must suffice (positional
@@ -125,17 +127,28 @@ def _index(spark, templates, order: "list[str]", percent: int) -> DataFrame:
     return spark.range(1).select(F.inline(built))
 
 
+def _windows(words: Column, known: Column, templates: "tuple[Template, ...]") -> Column:
+    """For each window of a text's words, those of them that are in ``known``."""
+    step = max([len(t.text.split()) for t in templates], default=1)
+    last = F.greatest(F.size(words) - step - 1, F.lit(0))
+    return F.transform(
+        F.sequence(F.lit(0), last, F.lit(step)),
+        lambda i: F.array_intersect(F.slice(words, i + 1, 2 * step), known),
+    )
+
+
 def similar_blocks(
     docs: DataFrame,
     keys: "list[str]",
     templates: "tuple[Template, ...]" = TEMPLATES,
     percent: int = PERCENT,
     text: str = "text",
+    windows: bool = False,
 ) -> DataFrame:
-    """``keys, block, template, share``: every line that holds enough of a template's words.
+    """``keys, block, template, share``: every block that holds enough of a template's words.
 
-    ``block`` counts lines from 0, ``template`` is its place in ``templates``, ``share`` the part of
-    its words that is there.
+    Blocks are lines, or with ``windows`` the windows of words; ``block`` counts them from 0.
+    ``template`` is its place in ``templates``, ``share`` the part of its words that is there.
     """
     spark = docs.sparkSession
     order = word_order(docs, templates, text)
@@ -150,12 +163,20 @@ def similar_blocks(
     )
     ranks = F.create_map(*[F.lit(x) for w, i in rank.items() for x in (w, i)])
     rare = F.array(*[F.lit(w) for w in prefix])
+    known = F.array(*[F.lit(w) for w in order])
+    words = _words(small_letters(F.col(text)))
+    if windows:
+        cut = docs.select(*keys, words.alias("_all")).filter(F.arrays_overlap("_all", rare))
+        have = _windows(F.col("_all"), known, templates)
+        lines = cut.select(*keys, F.posexplode(have).alias("block", "_have"))
+    else:
+        lines = (
+            docs.filter(F.arrays_overlap(words, rare))
+            .select(*keys, F.posexplode(F.split(F.col(text), "\n", -1)).alias("block", "_line"))
+            .withColumn("_have", F.array_intersect(_words(small_letters(F.col("_line"))), known))
+        )
     blocks = (
-        docs.filter(F.arrays_overlap(_words(small_letters(F.col(text))), rare))
-        .select(*keys, F.posexplode(F.split(F.col(text), "\n", -1)).alias("block", "_line"))
-        .withColumn("_have", _words(small_letters(F.col("_line"))))
-        .filter(F.arrays_overlap("_have", rare))
-        .withColumn("_have", F.array_intersect("_have", F.array(*[F.lit(w) for w in order])))
+        lines.filter(F.arrays_overlap("_have", rare))
         .select(
             *keys,
             "block",
@@ -218,7 +239,7 @@ def scan(
 ) -> DataFrame:
     """``key, n_words, places, similar, score`` for every row of ``docs``.
 
-    ``places``: (start, label) of the phrases; ``similar``: (label, block, share) of the blocks that
+    ``places``: (start, label) of the phrases; ``similar``: (label, block, share) of the windows that
     belong to a template; ``score``: the best share, 1 where a phrase stands, 0 with neither. Null
     and empty texts have no words. Rows with one key and one text have equal results; each row
     comes back.
@@ -229,7 +250,7 @@ def scan(
     ).withColumn("mark", F.xxhash64("text"))
     place = shared_dir(spark, "licenses-blocks")
     labels = F.array(*[F.lit(t.label) for t in templates])
-    similar_blocks(rows, ["key", "mark"], templates, percent).groupBy("key", "mark").agg(
+    similar_blocks(rows, ["key", "mark"], templates, percent, windows=True).groupBy("key", "mark").agg(
         F.array_sort(
             F.collect_list(
                 F.struct(
