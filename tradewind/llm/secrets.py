@@ -51,9 +51,25 @@ BASE_RULES = (
     Rule("access", "AKIA[A-Z0-9]+", least=20, needs="AKIA[A-Z0-9]{16}"),
     Rule("hex", "[0-9a-f]+", least=24, needs="[0-9a-f]{24}"),
 )
+_KEY_BEGIN = "-----BEGIN (?:[A-Z]+ ){0,4}PRIVATE KEY-----"
+# up to the END line; no five dashes lie between, so another key's BEGIN is not passed
+_KEY_TO_END = "[^-]*(?:-[^-]+){0,200}-----END (?:[A-Z]+ ){0,4}PRIVATE KEY-----"
+# without END: header fields, long base64 runs, and a short last one that has a line to itself,
+# follows a written-out line break or is padded
+_KEY_CUT = (
+    "(?:[\\s>]+[A-Z][A-Za-z]*-[A-Z][A-Za-z]*: [^\\r\\n]*){0,8}"
+    "(?:[\\s\\\\>\"'#*|,]*[A-Za-z0-9+/=]{16,})*"
+    "(?:[\"',]*\\r?\\n[\\x20\\t>\"'#*|]*[A-Za-z0-9+/=]{1,15}[\"',]*(?:\\r?\\n|\\z)"
+    "|(?:\\\\[nr])+[A-Za-z0-9+/=]{1,15}|\\x20[A-Za-z0-9+/]{1,15}={1,2})?"
+)
 # kinds of the ledger's own
 MORE_RULES = (
-    Rule("private_key", "-----BEGIN (?:[A-Z]+ ){0,4}PRIVATE KEY-----"),
+    Rule(
+        "private_key",
+        f"{_KEY_BEGIN}(?:{_KEY_TO_END}|{_KEY_CUT})",
+        needs=_KEY_BEGIN,
+        version=2,
+    ),
     Rule("vcs_token", "gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 RULES = BASE_RULES + MORE_RULES
