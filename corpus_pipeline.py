@@ -39,8 +39,8 @@ def black_out_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's rate says."""
-    return mixing.mix(docs)
+    """Documents as often as their source's rate says, by one draw for each."""
+    return mixing.mix(docs, draws=1)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import corpus_pipeline
 from tradewind.llm import (
     ann,
     langid,
@@ -295,6 +296,21 @@ def test_mix_repeats_rows(spark, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_heavy_documents_keep_their_probability(spark):
+    # in each source one document has a third of the words; a source in three is full at rate 2
+    names = [f"s{i:03}" for i in range(300)]
+    texts = ["w " * (10 if k == 0 else 1) for _ in names for k in range(21)]
+    docs = documents(spark, *texts, sources=[s for s in names for _ in range(21)])
+    copies = Counter(r["doc_id"] for r in corpus_pipeline.mix_sources(spark, docs, "").collect())
+    rates = [2, 5 / 6, 5 / 3]
+    for place, rate in enumerate(rates):
+        heavy = [copies[i * 21] for i in range(place, len(names), 3)]
+        whole = int(rate)
+        assert set(heavy) <= {whole, whole + 1}
+        spread = np.sqrt((rate - whole) * (whole + 1 - rate) * len(heavy))
+        assert abs(sum(heavy) - rate * len(heavy)) <= 3 * spread
+
+
 # packing
 
 

@@ -2,9 +2,10 @@
 
 Tokens are added up per source, a source's repetition rate is its target over its size, and
 every document is taken ``floor(rate)`` times plus once more with the probability of the rate's
-fraction. That draw is Bernoulli, seeded by the document's id and a number of the source: of
-``draws`` such numbers a source uses the one whose draw comes nearest to its target. All of
-them give every document the same probability; picking one narrows the spread of the sum.
+fraction. That draw is Bernoulli, seeded by the document's id and a number of the source. With
+``draws=1`` that number is fixed and every document has the probability it is dealt. With more, a
+source uses the one of ``draws`` numbers whose draw comes nearest to its target: that narrows the
+spread of the sum, but documents that weigh much in their source no longer have that probability.
 
 Built-in expressions only. Shuffled are totals per source (partial sums first), never rows.
 """
@@ -102,6 +103,8 @@ def source_rates(
         .withColumn("whole", F.floor(rate).cast("int"))
         .withColumn("part", rate - F.col("whole"))
     )
+    if draws == 1:
+        return targets.withColumn("seed", F.lit(0))
     sums = (
         sized.withColumnRenamed("source", "_source")
         .join(targets.select("source", "part"), F.col("_source").eqNullSafe(F.col("source")))
