@@ -503,6 +503,18 @@ def test_language_is_told_from_held_out_text(spark, empty):
     assert langid.predict(odd, nothing, out="p").filter("p.code <> 'und'").count() == 0
 
 
+def test_the_fit_uses_the_whole_sample(spark, monkeypatch):
+    texts = [f"dabu{i} gado" if i % 2 else f"miro{i} solu" for i in range(2600)]
+    docs = documents(spark, *texts, langs=[("xx", "yy")[i % 2] for i in range(len(texts))])
+    seen = []
+    monkeypatch.setattr(langid, "_temperature", lambda z, t: seen.append(np.bincount(t).sum()) or 1.0)
+    model = langid.fit(docs.repartition(5), bits=12, epochs=1)
+    assert langid.PER_LANGUAGE == 1200 and seen == [2 * 1200 // langid.HELD_BACK]
+    # the order of the rows is no part of the result
+    again = langid.fit(docs.repartition(3, "text"), bits=12, epochs=1)
+    assert np.array_equal(model.table, again.table) and model.languages == ["xx", "yy"]
+
+
 def labels(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 

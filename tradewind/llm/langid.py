@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import vectext as V
 from tradewind.llm.sampling import sample_by_label
+from tradewind.sinks.shared import shared_dir
 
 UNDETERMINED = "und"
-PER_LANGUAGE = 500
+PER_LANGUAGE = 1200
 BITS = 15
 SIZE = 16
 GRAMS = (2, 3, 4)
@@ -104,22 +105,24 @@ def fit(labelled: DataFrame, key: str = "doc_id", seed: int = 17, **sizes) -> La
         "lang",
         per_language,
     ).select(F.col("lang").alias("label"), "text")
-    rows = sample.mapInPandas(
-        _counts(bits), "label string, bucket binary, n binary"
-    ).collect()
-    # row order depends on the tasks; the fit must not
-    rows = [(r["label"], bytes(r["bucket"]), bytes(r["n"])) for r in rows]
-    rows.sort()
-    languages = sorted({label for label, _, _ in rows})
+    spark = labelled.sparkSession
+    written = shared_dir(spark, "language-sample")
+    sample.mapInPandas(_counts(bits), "label string, bucket binary, n binary").write.parquet(written)
+    # in an order that does not depend on the tasks, and a part at a time, into two long buffers
+    # that are given back when the fit ends
+    names, ends, buckets, counts = [], [], bytearray(), bytearray()
+    for r in spark.read.parquet(written).orderBy("label", "bucket", "n").toLocalIterator():
+        names.append(r["label"])
+        buckets += r["bucket"]
+        counts += r["n"]
+        ends.append(len(buckets) // 4)
+    languages = sorted(set(names))
     if not languages:
         return LanguageModel([], np.zeros((0, 1 << bits)), np.zeros(0), 1.0, 0.0, bits)
     place = {name: i for i, name in enumerate(languages)}
-    target = np.array([place[label] for label, _, _ in rows])
-    # two long arrays, cut by document, instead of many small ones
-    at = np.append(0, np.cumsum([len(bits) // 4 for _, bits, _ in rows]))[:-1][1:]
-    used = np.split(np.frombuffer(b"".join(bits for _, bits, _ in rows), dtype="<i4"), at)
-    share = np.split(np.frombuffer(b"".join(bits for _, _, bits in rows), dtype="<f4").copy(), at)
-    del rows
+    target = np.array([place[label] for label in names])
+    used = np.split(np.frombuffer(buckets, dtype="<i4"), ends[:-1])
+    share = np.split(np.frombuffer(counts, dtype="<f4"), ends[:-1])
     for n in share:
         n /= n.sum()
     rng = np.random.default_rng(seed)
