@@ -12,6 +12,7 @@ from tradewind.llm import (
     packing,
     quality,
     secrets,
+    tokencount,
     topk,
     toxicity,
 )
@@ -195,6 +196,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencount.token_counts(docs, vocabulary(), limit=2048).select("doc_id", "tokens.*")
+
+
 def _licenses_expected() -> str:
     """Templates are compared with every line, without any filter."""
     word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -254,6 +260,7 @@ LLM_QUERIES = {
     "op10_language": op10_language,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
+    "op12_token_counts": op12_token_counts,
 }
 
 LLM_EXPECTED = {
