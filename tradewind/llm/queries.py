@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import (
     ann,
+    filteraudit,
     langid,
     licenses,
     mixing,
@@ -196,6 +197,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return filteraudit.audit(docs, labels)
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokencount.token_counts(docs, vocabulary(), limit=2048).select("doc_id", "tokens.*")
@@ -260,6 +267,7 @@ LLM_QUERIES = {
     "op10_language": op10_language,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
+    "op11_filter_audit": op11_filter_audit,
     "op12_token_counts": op12_token_counts,
 }
 
@@ -281,6 +289,61 @@ LLM_EXPECTED = {
         QUALIFY row_number() OVER w <= 20
     """,
     "op8_secrets": _secrets_expected(),
+    "op11_filter_audit": """
+        WITH texts AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+        firsts AS (SELECT text, min(doc_id) AS first FROM texts GROUP BY text),
+        marks AS (
+            SELECT doc_id, coalesce(max(quality) = 1, false) AS good,
+                   coalesce(max(toxic) = 1, false) AS toxic
+            FROM labels GROUP BY doc_id),
+        counted AS (
+            SELECT doc_id, part, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w,
+                   length(text) AS points,
+                   length(regexp_replace(text, '[^A-Z]', '', 'g')) AS capitals
+            FROM texts),
+        failed AS (
+            SELECT c.part, coalesce(m.good, false) AS good, coalesce(m.toxic, false) AS toxic,
+                   CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+                   || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+                   || CASE WHEN 100 * capitals > 3 * points THEN 'C' ELSE '' END
+                   || CASE WHEN regexp_matches(c.text, '[#$%&*|]') THEN 'D' ELSE '' END
+                   || CASE WHEN c.doc_id > f.first THEN 'E' ELSE '' END AS fails
+            FROM counted c JOIN firsts f ON c.text = f.text LEFT JOIN marks m ON c.doc_id = m.doc_id),
+        sums AS (
+            SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good,
+                   count(*) FILTER (toxic) AS n_toxic
+            FROM failed GROUP BY part, fails),
+        letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+        orders AS (
+            SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+            FROM letters a
+            JOIN letters b ON b.f <> a.f
+            JOIN letters c ON c.f <> a.f AND c.f <> b.f
+            JOIN letters d ON d.f <> a.f AND d.f <> b.f AND d.f <> c.f
+            JOIN letters e ON e.f <> a.f AND e.f <> b.f AND e.f <> c.f AND e.f <> d.f),
+        steps AS (
+            SELECT filter_order, step::INT AS step, substr(filter_order, step::INT, 1) AS own,
+                   substr(filter_order, 1, step::INT - 1) AS before
+            FROM orders, range(1, 6) r(step)),
+        applied AS (
+            SELECT part, filter_order, step, own, n, n_good, n_toxic, fails,
+                   strpos(fails, own) > 0 AS hit,
+                   length(translate(fails, before, '')) < length(fails) AS gone
+            FROM sums, steps),
+        told AS (
+            SELECT part, filter_order, step, own,
+                   coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+                   coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+                   coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+                   coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+                   coalesce(sum(n_good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost,
+                   coalesce(sum(n_toxic) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+            FROM applied GROUP BY part, filter_order, step, own)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+        FROM told
+    """,
     "op9_mixing": """
         WITH sized AS (
             SELECT doc_id, source,
