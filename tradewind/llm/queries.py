@@ -13,6 +13,7 @@ from tradewind.llm import (
     packing,
     quality,
     secrets,
+    spelling,
     tokencount,
     topk,
     toxicity,
@@ -208,6 +209,11 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(docs, vocabulary(), limit=2048).select("doc_id", "tokens.*")
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(docs).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def _licenses_expected() -> str:
     """Templates are compared with every line, without any filter."""
     word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -269,6 +275,7 @@ LLM_QUERIES = {
     "op9_mixing": op9_mixing,
     "op11_filter_audit": op11_filter_audit,
     "op12_token_counts": op12_token_counts,
+    "op13_spelling": op13_spelling,
 }
 
 LLM_EXPECTED = {
