@@ -240,38 +240,23 @@ def one_edit(a: _Words, i: np.ndarray, b: _Words, j: np.ndarray) -> np.ndarray:
 def _reached(vector: Column, depth: int) -> Column:
     """Names of the trie's nodes at ``depth`` that the budget reaches from a vector: an array.
 
-    At most one of the first ``depth`` counts is one higher and at most one lower.
+    At most one of the first ``depth`` counts is one higher and at most one lower. The moves are
+    written out, so that Spark compiles them.
     """
-    top = F.slice(vector, 1, depth)
-    moves = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(depth)),
-            lambda up: F.transform(
-                F.sequence(F.lit(0), F.lit(depth)), lambda down: F.struct(up.alias("up"), down.alias("down"))
-            ),
-        )
-    )
-    able = F.filter(
-        moves,
-        lambda m: ((m["up"] == 0) | (m["up"] != m["down"]))
-        & ((m["down"] == 0) | (F.get(vector, m["down"] - 1) > 0)),
-    )
-    return F.transform(
-        able,
-        lambda m: F.array_join(
-            F.transform(
-                top,
-                lambda c, k: (
-                    c + (k + 1 == m["up"]).cast("int") - (k + 1 == m["down"]).cast("int")
-                ).cast("string"),
-            ),
-            ".",
-        ),
-    )
+    moves = [
+        (up, down) for up in range(-1, depth) for down in range(-1, depth) if up < 0 or up != down
+    ]
+
+    def reached(up: int, down: int) -> Column:
+        counts = [vector[k] + F.lit((k == up) - (k == down)) for k in range(depth)]
+        name = F.concat_ws(".", *[c.cast("string") for c in counts])
+        return name if down < 0 else F.when(vector[down] > 0, name)
+
+    return F.array_compact(F.array(*[reached(up, down) for up, down in moves]))
 
 
 def _name(vector: Column, depth: int) -> Column:
-    return F.array_join(F.transform(F.slice(vector, 1, depth), lambda c: c.cast("string")), ".")
+    return F.concat_ws(".", *[vector[k].cast("string") for k in range(depth)])
 
 
 def _vector(word: Column) -> Column:
