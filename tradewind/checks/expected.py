@@ -115,6 +115,20 @@ def kept_merge(changes: str) -> str:
     )
 
 
+# two loads into the lake: the second moves the pending orders
+MOVED = """CASE WHEN payment_status = 'P' THEN created_at + INTERVAL 1 DAY ELSE created_at END
+        AS created_at,
+    CASE WHEN payment_status = 'P' THEN 'moved-' || customer_id ELSE customer_id END AS customer_id"""
+LAKE = f"""{ORDERS}, {ITEMS}, t AS (SELECT * FROM {FIRST_LOAD}),
+s AS (SELECT * REPLACE ({MOVED}) FROM so WHERE created_at {BATCH}),
+lo AS (SELECT s.* REPLACE (coalesce(t.channel, s.channel) AS channel,
+        coalesce(t.currency, s.currency) AS currency)
+    FROM s LEFT JOIN t ON s.order_id = t.order_id
+    UNION ALL BY NAME SELECT * FROM t WHERE order_id NOT IN (SELECT order_id FROM s)),
+ti AS ({unique_items(f'it WHERE shipped {LOADED}')}),
+si AS ({unique_items(f'it WHERE shipped {BATCH}')}),
+lit AS ({merged('ti', 'si', 'order_item_id')})"""
+
 # feeds: one record version per id, then the silver columns
 
 DIST = (
@@ -391,6 +405,18 @@ EXPECTED = {
         f"{ORDERS}, t AS ({customers(FIRST_LOAD)}), s AS ({customers(BATCH_LOAD)})",
         merged("t", "s", "customer_id"),
     ),
+    "bucketed_orders": with_(LAKE, "SELECT * FROM lo"),
+    "gold_increment": with_(
+        LAKE,
+        f"""SELECT 'daily_revenue_channel' AS mart, sales_date AS key_a, channel AS key_b,
+            order_count AS n, gross_revenue AS amount,
+            CAST(CAST(round(tax_collected * 100) AS BIGINT) AS VARCHAR) AS label
+        FROM ({daily('lo')})
+        UNION ALL SELECT 'inventory_turnover', sales_date, sku, units_sold, total_sales_amount,
+            product_title FROM ({inventory('lit', 'lo')})
+        UNION ALL SELECT 'customer_360', customer_id, NULL, total_orders, total_spend,
+            concat_ws(',', preferred_channel, customer_email) FROM ({customers('lo')})""",
+    ),
     "publish_orders": kept_merge("'shopify' AS channel, 'REFUNDED' AS payment_status"),
     "dq_orders": with_(
         ORDERS,

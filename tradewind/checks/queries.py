@@ -13,7 +13,9 @@ from tradewind.operators import conform, contract, features, marts, quality, rep
 from tradewind.operators.dedupe import dedupe_latest, duplicate_keys
 from tradewind.operators.upsert import upsert_table
 from tradewind.plans.bronze import channel_rows
-from tradewind.sinks import ensure_table, publish, shared_dir
+from tradewind.plans.gold import refresh_gold
+from tradewind.plans.silver import SILVER
+from tradewind.sinks import commit, ensure_buckets, ensure_table, publish, shared_dir, stage_merge
 from tradewind.sources import split_recognised, stamp
 from tradewind.streaming import stream_append, stream_pos
 
@@ -351,6 +353,85 @@ def publish_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.plain(spark.table(name).drop("_processed_at"))
 
 
+LAKE_BUCKETS = 8
+
+
+def _lake_loads(spark: SparkSession, sf_dir: str, after_first=lambda silver: None) -> str:
+    """Two loads of silver orders and items into buckets; returns the namespace.
+
+    The second load moves the pending orders to the next day and to another customer.
+    """
+    silver = "lake_" + shared_dir(spark, "lake").rsplit("-", 1)[1]
+    tables = [t for t in SILVER if t.name != "products"]
+    orders, items = T.orders(spark, sf_dir), T.items(spark, sf_dir).drop("tax_amount")
+    pending = F.col("payment_status") == "P"
+    moved = _batch(orders, "created_at").withColumns(
+        {
+            "created_at": F.when(
+                pending, F.col("created_at") + F.expr("INTERVAL 1 DAY")
+            ).otherwise(F.col("created_at")),
+            "customer_id": F.when(pending, F.concat(F.lit("moved-"), "customer_id")).otherwise(
+                F.col("customer_id")
+            ),
+        }
+    )
+    loads = (
+        {"orders": _first_load(orders), "order_items": _unique_items(_loaded(items, "shipped"))},
+        {"orders": moved, "order_items": _unique_items(_batch(items, "shipped"))},
+    )
+    for version, load in enumerate(loads, 1):
+        base = ensure_buckets(spark, silver, tables, LAKE_BUCKETS)
+        staged = {}
+        for t in tables:
+            rows = stamp(load[t.name], datetime(2024, 1, version))
+            staged[t.name], _ = stage_merge(base, t, rows, str(version))
+        commit(base, staged, str(version))
+        if version == 1:
+            after_first(silver)
+    return silver
+
+
+def bucketed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver orders after two loads, each of which rewrites the buckets its keys are in."""
+    silver = _lake_loads(spark, sf_dir)
+    return T.plain(spark.table(f"{silver}.orders").drop("_processed_at"))
+
+
+def gold_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marts made after the first load and brought up to date after the second."""
+
+    def refresh(silver: str, version: str = "1") -> None:
+        refresh_gold(
+            spark, version, silver=silver, gold=f"{silver}_gold", buckets=LAKE_BUCKETS
+        )
+
+    silver = _lake_loads(spark, sf_dir, refresh)
+    refresh(silver, "2")
+    none = F.lit(None).cast("string")
+
+    def listed(mart: str, keys: list, n: str, amount: str, label) -> DataFrame:
+        return spark.table(f"{silver}_gold.{mart}").select(
+            F.lit(mart).alias("mart"),
+            F.col(keys[0]).alias("key_a"),
+            (F.col(keys[1]) if len(keys) > 1 else none).alias("key_b"),
+            F.col(n).cast("long").alias("n"),
+            F.col(amount).alias("amount"),
+            label.alias("label"),
+        )
+
+    return reduce(
+        DataFrame.unionByName,
+        [
+            listed("daily_revenue_channel", ["sales_date", "channel"], "order_count", "gross_revenue",
+                   F.round(F.col("tax_collected") * 100).cast("long").cast("string")),
+            listed("inventory_turnover", ["sales_date", "sku"], "units_sold", "total_sales_amount",
+                   F.col("product_title")),
+            listed("customer_360", ["customer_id"], "total_orders", "total_spend",
+                   F.concat_ws(",", "preferred_channel", "customer_email")),
+        ],
+    )
+
+
 # features
 
 EVENT_VIEW = features.FeatureView("event_features", ("customer_id",), ("event_type", "value"))
@@ -434,6 +515,8 @@ QUERIES = {
     "upsert_inventory": upsert_inventory,
     "upsert_customer_360": upsert_customer_360,
     "publish_orders": publish_orders,
+    "bucketed_orders": bucketed_orders,
+    "gold_increment": gold_increment,
     "dq_orders": dq_orders,
     "dq_order_items": dq_order_items,
     "dq_violations": dq_violations,
