@@ -246,3 +246,109 @@ def test_an_amazon_order_without_id_is_a_dead_letter(spark, tmp_path):
     rows = channel_rows("amazon", drop_documents(spark, str(tmp_path)))
     assert routes(rows) == {"accepted": 1, "dead_letter": 1}
     assert rows.filter("route = 'accepted'").first()["OrderItems"][0]["QuantityOrdered"] == "2.0"
+
+
+CLOSED_EARLY = [
+    '{"transaction_id": "a"}] {"transaction_id": "b"}',
+    '{"transaction_id": "a"}{"transaction_id": "b"}',
+    '{"transaction_id": "a"}, {"transaction_id": "b"}',
+    '{"transaction_id": "a"} trailing',
+    '{"transaction_id": "a"}, "end"] x',
+    '{"transaction_id": "a"}, {"__end__": "x"}] x',
+    '[{"transaction_id": "a"}]] [{"transaction_id": "b"}]',
+    '[{"transaction_id": "a"}], [{"__end__": "x"}]] x',
+]
+
+
+def test_nothing_after_a_value_is_lost_in_batch_stream_and_messages(spark, tmp_path):
+    for i, text in enumerate(CLOSED_EARLY):
+        D.write(tmp_path / "in", f"{i}.json", text)
+    D.write(tmp_path / "in", "good.json", [D.pos_transaction("t1")])
+    ingest_batch(spark, "pos", str(tmp_path / "in"), str(tmp_path / "batch"))
+    streamed = run(spark, "pos", str(tmp_path / "in"), tmp_path / "s")
+    for table in (spark.read.parquet(str(tmp_path / "batch")), streamed):
+        assert routes(table) == {"accepted": 1, "dead_letter": len(CLOSED_EARLY)}
+        dead = table.filter("route = 'dead_letter'").collect()
+        assert {r["dead_payload"] for r in dead} == set(CLOSED_EARLY)
+        assert {tuple(map(tuple, r["dead_errors"])) for r in dead} == {((None, "invalid json"),)}
+    routed = channel_rows("pos", messages(spark, json.dumps(D.pos_transaction("t1")), *CLOSED_EARLY))
+    assert routes(routed) == {"accepted": 1, "dead_letter": len(CLOSED_EARLY)}
+
+
+def test_a_web_order_closed_early_is_a_dead_letter_with_its_reasons(spark, tmp_path):
+    text = json.dumps(D.envelope(D.node("s1")))
+    D.write(tmp_path, "early.json", text + "] " + text)
+    D.write(tmp_path, "bad.json", D.envelope(D.node("s1"), D.node("s2", email="x"), D.node(7)))
+    D.write(tmp_path, "none.json", {"data": 1})
+    D.write(tmp_path, "good.json", text)
+    rows = channel_rows("shopify", drop_documents(spark, str(tmp_path))).collect()
+    why = {r["_ingest_file_name"]: r["dead_errors"] and [tuple(e) for e in r["dead_errors"]] for r in rows}
+    assert why == {
+        "early.json": [(None, "invalid json")],
+        "bad.json": [(1, "email: pattern"), (2, "id: type")],
+        "none.json": [(None, "no envelope")],
+        "good.json": None,
+    }
+
+
+def csv_of(names, row):
+    return ",".join(row[n] for n in names)
+
+
+def test_columns_are_named_by_the_header_of_their_file(spark, tmp_path):
+    names = DISTRIBUTOR_ROW.fieldNames()
+    values = "d1,D1,North Co,North,I1,2026-07-20,SKU-1,2,10.0,0,3.6,23.6,PAID".split(",")
+    row = dict(zip(names, values))
+    swapped = names[:2] + ["Region", "DistributorName"] + names[4:]
+    other = {**row, "TransactionID": "d2", "Region": "South", "DistributorName": '"South, Co"'}
+    D.write(tmp_path, "a.csv", "\n".join([",".join(names), csv_of(names, row)]))
+    D.write(tmp_path, "b.csv", "\r\n".join([",".join(swapped), csv_of(swapped, other), csv_of(swapped, row)[:9]]))
+    D.write(tmp_path, "c.csv", csv_of(names, row))
+    for whole in (True, False):
+        docs = drop_documents(spark, str(tmp_path), whole, "*.csv")
+        rows = channel_rows("distributor", docs, whole_files=whole)
+        got = {r["TransactionID"]: (r["DistributorName"], r["Region"]) for r in rows.collect()}
+        assert got == {"d1": ("North Co", "North"), "d2": ("South, Co", "South"), None: (None, None)}
+        dead = rows.filter("route = 'dead_letter'").collect()
+        assert {(r["_ingest_file_name"], r["dead_errors"][0]["error"]) for r in dead} == {
+            ("b.csv", "number of fields"),
+            ("c.csv", "header"),
+        }
+
+
+def test_a_large_csv_drop_is_many_tasks(spark, tmp_path):
+    names = DISTRIBUTOR_ROW.fieldNames()
+    line = "d{},D1,North Co,North,I1,2026-07-20,SKU-1,2,10.0,0,3.6,23.6,PAID"
+    D.write(tmp_path, "a.csv", "\n".join([",".join(reversed(names))] + [
+        ",".join(reversed(line.format(i).split(","))) for i in range(20_000)
+    ]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        docs = drop_documents(spark, str(tmp_path), False, "*.csv")
+        assert docs.rdd.getNumPartitions() >= 5
+        rows = channel_rows("distributor", docs, whole_files=False)
+        assert routes(rows) == {"accepted": 20_000}
+        assert rows.filter("Region = 'North' AND Quantity = 2").count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quoted_fields_keep_line_breaks_and_quotes(spark, tmp_path):
+    names = DISTRIBUTOR_ROW.fieldNames()
+    tail = "North,I1,2026-07-20,SKU-1,2,10.0,0,3.6,23.6,PAID"
+    long = "x" * 200_000 + "\n" + "y, " * 50_000
+    body = [
+        ",".join(names),
+        f'd1,D1,"two\nlines, ""quoted""",{tail}',
+        "",
+        f'd2,D1,5" pipe,{tail}',
+        f'd3,D1,"{long}",{tail}',
+    ]
+    D.write(tmp_path, "a.csv", "\n".join(body))
+    rows = channel_rows("distributor", drop_documents(spark, str(tmp_path), suffix="*.csv"))
+    got = {r["TransactionID"]: r["DistributorName"] for r in rows.collect()}
+    assert got["d1"] == 'two\nlines, "quoted"'
+    assert got["d2"] == '5" pipe' and got["d3"] == long and len(got) == 3
+    with pytest.raises(ValueError, match="whole files"):
+        ingest_stream(spark, "distributor", str(tmp_path), "t", "c", whole_files=False)

@@ -484,17 +484,19 @@ EXPECTED = {
     ),
     "recognised_documents": """SELECT CAST(o_orderkey AS VARCHAR) AS doc,
         o_totalprice NOT BETWEEN 21000 AND 23499.99 AS recognised FROM orders""",
-    "ingest_documents": """SELECT
+    "ingest_documents": with_(BAD, """SELECT
         CASE WHEN good THEN CAST(o_orderkey AS VARCHAR) END AS id,
         CASE WHEN good THEN '#' || o_orderkey END AS name,
         CASE WHEN good THEN '2024-01-01T00:00:00Z' END AS createdAt,
         CASE WHEN good THEN 'a.b@example.com' END AS email,
         CASE WHEN good THEN 'web' END AS sourceName, CASE WHEN good THEN '1.00' END AS total,
         CASE WHEN good THEN 0 END AS lines, NOT good AS is_dead,
+        CASE WHEN NOT good THEN array_to_string(errors, ',') END AS reasons,
         'drop_' || strftime(o_orderdate, '%Y-%m-%d') AS _ingest_file_name,
         CASE WHEN good THEN 'accepted' ELSE 'dead_letter' END AS route
-        FROM (SELECT *, o_totalprice >= 31000 AS good FROM orders
-            WHERE o_totalprice NOT BETWEEN 26000 AND 28499.99)""",
+        FROM (SELECT o.*, errors, o_totalprice >= 31000 AS good
+            FROM orders o JOIN bad ON doc = CAST(o_orderkey AS VARCHAR)
+            WHERE o_totalprice NOT BETWEEN 26000 AND 28499.99)"""),
     "stream_append_events": """SELECT
         CASE WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR) END AS transaction_id,
         CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS store_id,

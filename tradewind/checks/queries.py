@@ -302,6 +302,7 @@ def ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("totalPriceSet.presentmentMoney.amount").alias("total"),
         F.size("lineItems.edges").alias("lines"),
         F.col("dead_payload").isNotNull().alias("is_dead"),
+        F.array_join("dead_errors.error", ",").alias("reasons"),
         "_ingest_file_name",
         "route",
     )

@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.functions.payload import is_json, strict_json
+from tradewind.functions.payload import INVALID_JSON, is_json, reason, strict_json
 from tradewind.operators.joins import split_join
 from tradewind.schemas import record
+from tradewind.sinks.shared import shared_dir
 
 STRING, OBJECT, NUMBER, ARRAY = "string", "object", "number", "array"
 DOCUMENT = record(data=record(orders=record(edges=T.ArrayType(T.VariantType()))))
@@ -108,35 +109,33 @@ def _edges(text: Column) -> Column:
     return strict_json(text, DOCUMENT)["data"]["orders"]["edges"]
 
 
-def check_documents(documents: DataFrame, contract=SHOPIFY_CONTRACT) -> DataFrame:
-    """Add to each document of ``file``, ``text``: ``n_records`` and ``errors``.
+def judged(text: Column, contract=SHOPIFY_CONTRACT) -> Column:
+    """Struct of ``n_records`` and ``errors`` of a document, from one parse.
 
     ``errors`` lists (record, error) pairs. ``record`` is the position in the document, or null
-    for an error of the document itself: ``invalid json`` or ``no envelope``.
+    for an error of the document itself: ``invalid json`` or ``no envelope``. Only a text without
+    edges is read once more, to tell these two apart.
     """
 
-    def listed(position: Column, error: Column) -> Column:
-        return F.struct(position.cast("int").alias("record"), error.alias("error"))
-
     def of_edge(edge: Column, position: Column) -> Column:
-        return F.transform(contract_errors(edge, contract), lambda e: listed(position, e))
+        return F.transform(contract_errors(edge, contract), lambda e: reason(position, e))
 
-    def of_document(error: str) -> Column:
-        return F.array(listed(F.lit(None), F.lit(error)))
-
-    return (
-        documents.withColumn("_edges", _edges(F.col("text")))
-        .withColumns(
-            {
-                "n_records": F.coalesce(F.size("_edges"), F.lit(0)),
-                "errors": F.when(
-                    F.col("_edges").isNotNull(), F.flatten(F.transform("_edges", of_edge))
-                )
-                .when(is_json(F.col("text")), of_document("no envelope"))
-                .otherwise(of_document("invalid json")),
-            }
+    def verdict(edges: Column) -> Column:
+        errors = (
+            F.when(edges.isNotNull(), F.flatten(F.transform(edges, of_edge)))
+            .when(is_json(text), F.array(reason(None, "no envelope")))
+            .otherwise(F.array(reason(None, INVALID_JSON)))
         )
-        .drop("_edges")
+        records = F.when(edges.isNotNull(), F.size(edges)).otherwise(0)
+        return F.struct(records.alias("n_records"), errors.alias("errors"))
+
+    return F.transform(F.array(_edges(text)), verdict)[0]
+
+
+def check_documents(documents: DataFrame, contract=SHOPIFY_CONTRACT) -> DataFrame:
+    """Add ``judged`` of the document to each row of ``file``, ``text``: ``n_records``, ``errors``."""
+    return documents.withColumn("_judged", judged(F.col("text"), contract)).select(
+        *documents.columns, "_judged.*"
     )
 
 
@@ -192,8 +191,22 @@ def with_verdict(
 
 
 def route_files(
-    documents: DataFrame, contract=SHOPIFY_CONTRACT, one_document_per_file: bool = True
+    documents: DataFrame,
+    contract=SHOPIFY_CONTRACT,
+    one_document_per_file: bool = True,
+    place: "str | None" = None,
 ) -> "tuple[DataFrame, DataFrame]":
-    """Split documents into (clean, quarantined) by the verdict on their file."""
-    judged = with_verdict(documents, contract, one_document_per_file)
-    return judged.filter("passed").drop("passed"), judged.filter("not passed").drop("passed")
+    """Split documents into (clean, quarantined) by the verdict on their file.
+
+    The documents are judged once and written below ``place`` (default: a fresh shared folder), each
+    route in a folder of its own; the frames read those.
+    """
+    spark = documents.sparkSession
+    place = place or shared_dir(spark, "routed")
+    rows = with_verdict(documents, contract, one_document_per_file)
+    rows.write.partitionBy("passed").parquet(place)
+    written = spark.read.schema(rows.schema).parquet(place)
+    return (
+        written.filter("passed").select(*documents.columns),
+        written.filter("not passed").select(*documents.columns),
+    )

@@ -11,8 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind import schemas as S
-from tradewind.functions.payload import ACCEPTED, DEAD_LETTER, route_decoded, strict_json
-from tradewind.operators.contract import document_passes
+from tradewind.functions.payload import (
+    ACCEPTED,
+    DEAD_LETTER,
+    INVALID_JSON,
+    reason,
+    route_decoded,
+    strict_json,
+)
+from tradewind.operators.contract import judged
+from tradewind.operators.joins import split_join
 from tradewind.sinks.lake import append_bronze
 from tradewind.sources.drops import drop_documents
 from tradewind.sources.meta import with_ingest_meta
@@ -28,54 +36,71 @@ PARTITIONS = ("route", "ingest_date")
 SUFFIX = {"distributor": "*.csv"}
 
 
+_ERRORS = "array<struct<record:int,error:string>>"
+
+
 def _routed(
-    documents: DataFrame, records: Column, ok: Column, key: "str | None" = None
+    documents: DataFrame, records: Column, errors: Column, key: "str | None" = None
 ) -> DataFrame:
-    """Documents -> one row per record, or one dead-letter row with the document's text.
+    """Documents -> one row per record, or one dead-letter row with the document's text and errors.
 
-    With ``key``, a record without that field is a dead letter by itself, as JSON.
+    A document with ``errors`` is set aside whole. With ``key``, a record without that field is a dead
+    letter by itself, as JSON.
     """
     rows = documents.select(
-        F.col("file").alias("_file"), records.alias("_records"), "text", ok.alias("_ok")
-    ).select(
+        F.col("file").alias("_file"), records.alias("_records"), "text", errors.alias("_errors")
+    )
+    bad = F.size("_errors") > 0
+    rows = rows.select(
         "_file",
-        F.explode_outer(F.when(F.col("_ok"), F.col("_records"))).alias("_record"),
-        F.when(~F.col("_ok"), F.coalesce("text", F.lit(""))).alias("_text"),
+        F.posexplode_outer(F.when(~bad, F.col("_records"))).alias("_position", "_record"),
+        F.when(bad, F.coalesce("text", F.lit(""))).alias("_text"),
+        F.when(bad, F.col("_errors")).alias("_errors"),
     )
     # an accepted document without records leaves no row
     rows = rows.filter(F.col("_record").isNotNull() | F.col("_text").isNotNull())
-    dead = F.col("_text")
+    dead, why = F.col("_text"), F.col("_errors")
     if key is not None:
         unnamed = F.col("_record").isNotNull() & F.col(f"_record.{key}").isNull()
         dead = F.when(unnamed, F.to_json("_record")).otherwise(dead)
-    return rows.withColumn("dead_payload", dead).select(
+        why = F.when(unnamed, F.array(reason(F.col("_position"), f"{key}: missing"))).otherwise(why)
+    return rows.withColumns({"dead_payload": dead, "dead_errors": why}).select(
         "_file",
         "_record.*",
         "dead_payload",
+        "dead_errors",
         F.when(F.col("dead_payload").isNull(), F.lit(ACCEPTED))
         .otherwise(F.lit(DEAD_LETTER))
         .alias("route"),
     )
 
 
+def _unless(there: Column, error: str) -> Column:
+    """No errors if ``there`` is not null, else this one."""
+    return F.when(there.isNotNull(), F.array().cast(_ERRORS)).otherwise(F.array(reason(None, error)))
+
+
 def shopify_bronze(documents: DataFrame) -> DataFrame:
-    """Order nodes of documents that keep the contract."""
+    """Order nodes of documents that keep the contract; the others with what they break."""
     parsed = strict_json(F.col("text"), S.SHOPIFY_DROP)
-    return _routed(documents, parsed["data"]["orders"]["edges"]["node"], document_passes("text"))
+    nodes = parsed["data"]["orders"]["edges"]["node"]
+    return _routed(documents, nodes, judged(F.col("text"))["errors"])
 
 
 def amazon_bronze(documents: DataFrame) -> DataFrame:
     """Orders of documents that have an ``Orders`` list."""
     orders = strict_json(F.col("text"), S.AMAZON_DROP)["Orders"]
-    return _routed(documents, orders, orders.isNotNull(), "AmazonOrderId")
+    return _routed(documents, orders, _unless(orders, "no Orders list"), "AmazonOrderId")
 
 
 def pos_bronze(documents: DataFrame) -> DataFrame:
     """A drop is an array of transactions; a line of a line drop may be one transaction."""
-    listed = strict_json(F.col("text"), T.ArrayType(S.POS_TRANSACTION))
-    one = strict_json(F.col("text"), S.POS_TRANSACTION)
-    drop = F.coalesce(listed, F.when(one.isNotNull(), F.array(one)))
-    return _routed(documents, drop, drop.isNotNull(), "transaction_id")
+    text = F.col("text")
+    one = strict_json(text, S.POS_TRANSACTION)
+    drop = F.when(
+        F.ltrim(text, F.lit(" \t\r\n")).startswith("["), strict_json(text, T.ArrayType(S.POS_TRANSACTION))
+    ).otherwise(F.when(one.isNotNull(), F.array(one)))
+    return _routed(documents, drop, _unless(drop, INVALID_JSON), "transaction_id")
 
 
 def pos_message_bronze(messages: DataFrame, payload: str = "value") -> DataFrame:
@@ -85,41 +110,117 @@ def pos_message_bronze(messages: DataFrame, payload: str = "value") -> DataFrame
 
 def distributor_bronze(rows: DataFrame) -> DataFrame:
     return rows.withColumns(
-        {"dead_payload": F.lit(None).cast("string"), "route": F.lit(ACCEPTED)}
+        {
+            "dead_payload": F.lit(None).cast("string"),
+            "dead_errors": F.lit(None).cast(_ERRORS),
+            "route": F.lit(ACCEPTED),
+        }
+    )
+
+
+# a field in quotes may hold commas, line breaks and doubled quotes; a quote elsewhere is a letter.
+# Every repetition is possessive, so a field of any length is matched without recursion
+_FIELD = '(?:"(?:[^"]++|"")*+"[^,\\n]*+|[^,\\n]*+)'
+_RECORD = f"({_FIELD}(?:,{_FIELD})*+)"
+
+
+def _header_of(record: Column) -> Column:
+    """The names in a header, null if they are not those of the channel, in any order."""
+    names = F.array(*[F.lit(n) for n in sorted(S.DISTRIBUTOR_ROW.fieldNames())])
+    found = F.transform(
+        F.split(F.regexp_replace(record, "^\\uFEFF|\\r$", ""), ","),
+        lambda n: F.regexp_replace(F.trim(n), '^"|"$', ""),
+    )
+    return F.when(F.array_sort(found) == names, found)
+
+
+def _records_of_files(documents: DataFrame) -> DataFrame:
+    """``_file, _header, _line`` of whole files; a file with another header is one line without one."""
+    records = F.filter(
+        F.regexp_extract_all(F.regexp_replace("text", "^\\uFEFF", ""), F.lit(_RECORD), F.lit(1)),
+        lambda r: F.trim(F.regexp_replace(r, "\\r$", "")) != "",
+    )
+    rows = documents.select(F.col("file").alias("_file"), "text", records.alias("_records"))
+    rows = rows.withColumn("_header", _header_of(F.get("_records", F.lit(0))))
+    known = F.col("_header").isNotNull()
+    lines = F.when(known, F.slice("_records", 2, F.greatest(F.size("_records"), F.lit(1))))
+    return rows.select(
+        "_file", "_header", F.explode(lines.otherwise(F.array(F.coalesce("text", F.lit(""))))).alias("_line")
     )
 
 
+def _records_of_lines(lines: DataFrame) -> DataFrame:
+    """``_file, _header, _line`` of lines, each with the header its file has anywhere.
+
+    Files are split freely, so the header is found by its names and joined to the file's lines; the
+    list has one row a file. A file without a header, or with two that differ, has none.
+    """
+    rows = lines.select(F.col("file").alias("_file"), F.col("text").alias("_line"))
+    rows = rows.filter(F.trim(F.regexp_replace("_line", "\\r$", "")) != "")
+    headers = (
+        rows.select("_file", _header_of(F.col("_line")).alias("_found"))
+        .filter(F.col("_found").isNotNull())
+        .groupBy("_file")
+        .agg(F.min("_found").alias("_least"), F.max("_found").alias("_most"))
+        .select("_file", F.when(F.col("_least") == F.col("_most"), F.col("_least")).alias("_header"))
+    )
+    data = rows.filter(_header_of(F.col("_line")).isNull())
+    return split_join(data, headers, ["_file"], "left")
+
+
 def distributor_documents(documents: DataFrame, whole_files: bool = True) -> DataFrame:
-    """Lines of CSV drops. A file with another header is one dead letter, a line with another
-    number of fields, a value of the wrong type or no transaction id is one by itself.
+    """Records of CSV drops, their fields named by the header of their file, in whatever order.
 
-    Without ``whole_files`` a document is a line, and a line that is the header is passed over.
+    A file with other names is one dead letter, or one for each line without ``whole_files``. A record
+    with another number of fields, a value of the wrong type or no transaction id is one by itself.
+    A quoted field may hold line breaks in whole files; a line drop has one record a line.
     """
-    names = S.DISTRIBUTOR_ROW.fieldNames()
-    header = ",".join(names)
-    lines = F.split(F.regexp_replace("text", "^\\uFEFF|\\r", ""), "\n")
-    known = F.get(lines, F.lit(0)) == header if whole_files else F.lit(True)
-    rows = documents.select(
-        F.col("file").alias("_file"),
-        F.explode(F.when(known, lines).otherwise(F.array("text"))).alias("_line"),
-        known.alias("_known"),
-    ).filter(~F.col("_known") | ((F.col("_line") != header) & (F.trim("_line") != "")))
-    schema = T.StructType([*S.DISTRIBUTOR_ROW.fields, T.StructField("_corrupt", T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    parsed = F.from_csv("_line", schema.simpleString()[7:-1].replace(":", " "), options)
-    rows = rows.withColumn("_row", F.when(F.col("_known"), parsed))
-    dead = (
-        ~F.col("_known")
-        | F.col("_row._corrupt").isNotNull()
-        | F.col("_row.TransactionID").isNull()
+    fields = S.DISTRIBUTOR_ROW.fields
+    rows = _records_of_files(documents) if whole_files else _records_of_lines(documents)
+    places = [f"_{i}" for i in range(len(fields))]
+    schema = ", ".join([f"{p} string" for p in places] + ["_corrupt string"])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "escape": '"'}
+    parsed = F.from_csv(F.regexp_replace("_line", "\\r$", ""), schema, options)
+
+    def named(row: Column) -> Column:
+        """The texts of a record by name, and whether it has as many fields as there are names."""
+        values = F.array(*[row[p] for p in places])
+        texts = [
+            F.get(values, F.array_position("_header", F.lit(f.name)).cast("int") - 1).alias(f.name)
+            for f in fields
+        ]
+        return F.struct(*texts, row["_corrupt"].isNull().alias("_whole"))
+
+    # the lambda binds the parsed record, so a line is parsed once
+    rows = rows.withColumn(
+        "_text", F.when(F.col("_header").isNotNull(), F.transform(F.array(parsed), named)[0])
+    ).select(
+        "_file",
+        "_line",
+        "_header",
+        "_text",
+        F.struct(*[F.col(f"_text.{f.name}").try_cast(f.dataType).alias(f.name) for f in fields]).alias("_data"),
     )
-    return rows.withColumn("dead_payload", F.when(dead, F.col("_line"))).select(
+    mistyped = [
+        F.when(
+            F.col(f"_text.{f.name}").isNotNull() & F.col(f"_data.{f.name}").isNull(),
+            reason(None, f"{f.name}: type"),
+        )
+        for f in fields
+    ]
+    errors = (
+        F.when(F.col("_header").isNull(), F.array(reason(None, "header")))
+        .when(~F.col("_text._whole"), F.array(reason(None, "number of fields")))
+        .when(F.col("_text.TransactionID").isNull(), F.array(reason(None, "TransactionID: missing")))
+        .otherwise(F.array_compact(F.array(*mistyped)))
+    )
+    dead = F.size("_errors") > 0
+    return rows.withColumn("_errors", errors).select(
         "_file",
-        *[F.col(f"_row.{n}").alias(n) for n in names],
-        "dead_payload",
-        F.when(F.col("dead_payload").isNull(), F.lit(ACCEPTED))
-        .otherwise(F.lit(DEAD_LETTER))
-        .alias("route"),
+        *[F.when(~dead, F.col(f"_data.{f.name}")).alias(f.name) for f in fields],
+        F.when(dead, F.col("_line")).alias("dead_payload"),
+        F.when(dead, F.col("_errors")).alias("dead_errors"),
+        F.when(dead, F.lit(DEAD_LETTER)).otherwise(F.lit(ACCEPTED)).alias("route"),
     )
 
 
@@ -173,11 +274,16 @@ def ingest_stream(
 ):
     """Load every new file, or Kafka message, of a channel once; returns the running query.
 
+    Lines of a CSV drop take their names from the header of their file, which is joined to them, so
+    that form is for batch only; a CSV stream takes whole files.
+
     ``trigger={"availableNow": True}`` is the scheduled form, the default the continuous one.
     With ``kafka`` options the POS topic is read instead of the landing directory. A backlog
     is worked off in steps with ``files_per_trigger`` or the Kafka option maxOffsetsPerTrigger;
     both only size the steps. ``whole_files=False`` takes every line of a JSON drop as a document.
     """
+    if channel == "distributor" and not whole_files:
+        raise ValueError("a CSV stream takes whole files; load line drops with ingest_batch")
     if kafka is not None:
         raw = stream_pos(spark, options=kafka)
     else:
