@@ -585,8 +585,10 @@ def test_forward_backward_against_all_paths():
 
 def test_blocks_are_those_of_every_comparison(spark, empty):
     rng = np.random.default_rng(13)
-    pool = sorted({w for t in licenses.TEMPLATES for w in t.words}) + ["foo", "bar"]
-    lines = [" ".join(rng.choice(pool, int(rng.integers(1, 25)))) for _ in range(400)]
+    lines = []
+    for t in [t for t in licenses.TEMPLATES for _ in range(20)]:
+        pool = [*t.words * 3, *t.must.split() * 3, *t.without.split(), "foo", "bar", "mozilla", "gnu", "3"]
+        lines.append(" ".join(rng.choice(pool, int(rng.integers(3, 60)))))
     lines += [t.text.upper().replace(" ", "-") for t in licenses.TEMPLATES]
     texts = [None, "", "\n", *("\n".join(lines[i : i + 4]) for i in range(0, len(lines), 4))]
     want = set()
@@ -595,7 +597,8 @@ def test_blocks_are_those_of_every_comparison(spark, empty):
             words = set(re.findall("[0-9a-z]+", line.lower()))
             for t, template in enumerate(licenses.TEMPLATES):
                 common = len(words & set(template.words))
-                if common >= licenses.needed(template, licenses.PERCENT):
+                told = set(template.must.split()) <= words and not words & set(template.without.split())
+                if told and common >= licenses.needed(template, licenses.PERCENT):
                     want.add((d, b, t, common / len(template.words)))
     found = licenses.similar_blocks(documents(spark, *texts), ["doc_id"]).collect()
     assert {tuple(r) for r in found} == want and len(found) == len(want) > 10
@@ -614,7 +617,7 @@ def test_notices_are_found_however_the_text_is_wrapped(spark):
             texts.append(" ".join([*before, *notice, *rng.choice(fill, 40)]))
             want.append(template.label)
     # the words of a notice far apart in one long line are no notice
-    scattered = licenses.TEMPLATES[10].text.split()
+    scattered = "subject to the terms of the mozilla public license v 2 0".split()
     texts.append(" ".join(" ".join([w, *rng.choice(fill, 30)]) for w in scattered))
     rows = {r["doc_id"]: r for r in licenses.scan(documents(spark, *texts)).collect()}
     for i, label in enumerate(want):
@@ -622,6 +625,43 @@ def test_notices_are_found_however_the_text_is_wrapped(spark):
     assert rows[len(want)]["similar"] == [] and rows[len(want)]["score"] == 0.0
 
 
+def test_each_notice_has_the_label_of_its_own_license(spark):
+    notices = {
+        "mpl-2": "Licensed under the Mozilla Public License, Version 2.0",
+        "": "Licensed under CC BY 4.0",
+        "gpl-3": "This program is free software: you can redistribute it and/or modify it under the "
+        "terms of the GNU General Public License as published by\n the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+        "gpl-2": "This work is licensed under the GNU General Public License, version 2",
+        "lgpl": "This work is licensed under the GNU Lesser General Public License, version 3",
+        "agpl": "You can use it under the terms of the GNU Affero General Public License, version 3",
+        "apache-2": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use "
+        "this file except in compliance with the License.",
+        "cc-by": "This is licensed under a Creative Commons Attribution 4.0 International License",
+        "cc-by-nc": "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+        "cc-by-sa": "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+        "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with "
+        "or without fee is hereby granted",
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, are",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\n of this "
+        "software and associated documentation files (the \"Software\"), to deal",
+    }
+    # a template's own text gives no other label either
+    labels = [*notices, *(t.label for t in licenses.TEMPLATES)]
+    texts = [*notices.values(), *(t.text for t in licenses.TEMPLATES)]
+    rows = {r["doc_id"]: r for r in licenses.scan(documents(spark, *texts)).collect()}
+    for i, label in enumerate(labels):
+        assert {s["label"] for s in rows[i]["similar"]} == {label} - {""}, texts[i]
+
+
+def test_a_long_text_is_split_once(spark):
+    text = "so it is under the MIT license " + "word under the " * 100_000 + "under the mit license"
+    docs = documents(spark, text, text, "", None)
+    rows = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    assert [p["start"] for p in rows[0]["places"]] == [3, 300_007] and rows[1]["n_words"] == 300_011
+    assert rows[2]["places"] == rows[3]["places"] == []
+
+
 def test_phrases_and_words(spark):
     docs = documents(
         spark, None, "Under the MIT-license, cc by\nnc CC-BY-NC éa", "under the mitx license", "x"

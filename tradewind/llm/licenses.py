@@ -3,7 +3,7 @@
 A block is a window of a text's words: twice as long as the longest template, one at every length of
 it, so that each run as long as a template lies in one, however the text is wrapped. (Lines can be
 taken as blocks too.) Block and template are sets of words. A block belongs to a template if it holds
-at least ``percent`` of the template's words. Words are ordered by how often the corpus has
+at least ``percent`` of the template's words, among them those that only its license has. Words are ordered by how often the corpus has
 them, rarest first. A block that contains enough of a template must hold one of the template's
 rarest ``size - needed + 1`` words (prefix filter), must have as many template words as are needed
 (length filter), and what follows the first common word on either side must suffice (positional
@@ -39,31 +39,99 @@ PHRASES = (
 
 @dataclass(frozen=True)
 class Template:
-    """Words that mark a license, in any order, within one block."""
+    """Words that mark a license, in any order, within one block.
+
+    Notices of different licenses share most of their words, so a block must also hold the words of
+    ``must``, those that tell the license apart, and none of ``without``, which tell another one.
+    """
 
     label: str
     text: str
+    must: str
+    without: str = ""
 
     @property
     def words(self) -> "list[str]":
         return sorted(set(self.text.split()))
 
 
-# notices as they are commonly written, for the labels above and for other licenses
+# fixed values: notices as their licenses word them, lower-cased, for the labels above and others
 TEMPLATES = (
-    Template("mit", "released under the mit license"),
-    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy"),
-    Template("apache-2", "licensed under the apache license version 2 0"),
-    Template("cc-by-nc", "licensed under cc by nc 4 0"),
-    Template("cc-by", "licensed under a creative commons attribution 4 0 international license"),
-    Template("cc0", "cc0 1 0 universal public domain dedication"),
-    Template("gpl-3", "this work is licensed under the gnu general public license version 3"),
-    Template("gpl-2", "this work is licensed under the gnu general public license version 2"),
-    Template("lgpl", "gnu lesser general public license"),
-    Template("agpl", "gnu affero general public license"),
-    Template("mpl-2", "subject to the terms of the mozilla public license v 2 0"),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification"),
-    Template("proprietary", "all rights reserved do not copy or distribute"),
+    Template("mit", "released under the mit license", "mit"),
+    Template(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software "
+        "and associated documentation files",
+        "granted charge obtaining",
+    ),
+    Template("apache-2", "licensed under the apache license version 2 0", "apache 2"),
+    Template(
+        "apache-2",
+        "licensed under the apache license version 2 0 the license you may not use this file except "
+        "in compliance with the license",
+        "apache compliance",
+    ),
+    Template("cc-by-nc", "licensed under cc by nc 4 0", "cc nc"),
+    Template(
+        "cc-by-nc",
+        "licensed under a creative commons attribution noncommercial 4 0 international license",
+        "commons noncommercial",
+    ),
+    Template(
+        "cc-by",
+        "licensed under a creative commons attribution 4 0 international license",
+        "commons attribution",
+        "noncommercial sharealike noderivatives",
+    ),
+    Template(
+        "cc-by-sa",
+        "licensed under a creative commons attribution sharealike 4 0 international license",
+        "commons sharealike",
+        "noncommercial",
+    ),
+    Template("cc0", "cc0 1 0 universal public domain dedication", "cc0"),
+    Template(
+        "gpl-3",
+        "this work is licensed under the gnu general public license version 3",
+        "gnu general 3",
+        "lesser affero library",
+    ),
+    Template(
+        "gpl-3",
+        "under the terms of the gnu general public license as published by the free software "
+        "foundation either version 3 of the license or at your option any later version",
+        "gnu general 3",
+        "lesser affero library",
+    ),
+    Template(
+        "gpl-2",
+        "this work is licensed under the gnu general public license version 2",
+        "gnu general 2",
+        "lesser affero library",
+    ),
+    Template(
+        "gpl-2",
+        "under the terms of the gnu general public license as published by the free software "
+        "foundation either version 2 of the license or at your option any later version",
+        "gnu general 2",
+        "lesser affero library",
+    ),
+    Template("lgpl", "gnu lesser general public license", "lesser"),
+    Template("agpl", "gnu affero general public license", "affero"),
+    Template("mpl-2", "subject to the terms of the mozilla public license v 2 0", "mozilla 2"),
+    Template("mpl-2", "licensed under the mozilla public license version 2 0", "mozilla 2"),
+    Template(
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification",
+        "redistribution binary",
+    ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or "
+        "without fee is hereby granted",
+        "permission fee granted",
+    ),
+    Template("proprietary", "all rights reserved do not copy or distribute", "reserved not"),
 )
 PERCENT = 85
 
@@ -84,7 +152,7 @@ def word_order(
 
     Counts every occurrence in every text; each task sends a count per template word.
     """
-    known = sorted({w for t in templates for w in t.words})
+    known = sorted({w for t in templates for w in (*t.words, *t.without.split())})
     counted = (
         docs.select(
             F.explode(_words(small_letters(F.col(text)))).alias("word")
@@ -111,7 +179,11 @@ def _index(spark, templates, order: "list[str]", percent: int) -> DataFrame:
         need = needed(template, percent)
         for place, r in enumerate(ranks[: len(ranks) - need + 1]):
             rows.append((r, place, number, ranks, need))
-    names = ["prefix", "place", "template", "ranks", "need"]
+    names = ["prefix", "place", "template", "ranks", "need", "must", "without"]
+
+    def listed(words) -> Column:
+        return F.array(*[F.lit(rank[w]) for w in words]).cast("array<int>")
+
     built = F.array(
         *[
             F.struct(
@@ -120,6 +192,8 @@ def _index(spark, templates, order: "list[str]", percent: int) -> DataFrame:
                 F.lit(t).alias(names[2]),
                 F.array(*[F.lit(x) for x in ranks]).alias(names[3]),
                 F.lit(need).alias(names[4]),
+                listed(templates[t].must.split()).alias(names[5]),
+                listed(templates[t].without.split()).alias(names[6]),
             )
             for r, p, t, ranks, need in rows
         ]
@@ -190,24 +264,35 @@ def similar_blocks(
         blocks.join(F.broadcast(index), F.col("_word") == F.col("prefix"))
         .filter((size >= F.col("need")) & (follow >= F.col("need")))
         .withColumn("_common", F.size(F.array_intersect("_have", "ranks")))
-        .filter(F.col("_common") >= F.col("need"))
+        .filter(
+            (F.col("_common") >= F.col("need"))
+            & (F.size(F.array_except("must", "_have")) == 0)
+            & ~F.arrays_overlap("without", "_have")
+        )
         .select(*keys, "block", "template", (F.col("_common") / F.size("ranks")).alias("share"))
         .distinct()
     )
 
 
 def _starts(words: Column, phrase: str) -> Column:
-    """Places where the phrase's words stand one after another."""
+    """Places where the phrase's words stand one after another.
+
+    The outer lambda binds the words: a text is split once, not again for every place.
+    """
     parts = phrase.split()
 
-    def here(_, i: Column) -> Column:
-        same = F.lit(True)
-        for k, part in enumerate(parts):
-            same = same & F.get(words, i + k).eqNullSafe(F.lit(part))
-        return same
+    def places(bound: Column) -> Column:
+        def here(i: Column) -> Column:
+            same = F.get(bound, i).eqNullSafe(F.lit(parts[0]))
+            for k, part in enumerate(parts[1:], 1):
+                same = same & F.get(bound, i + k).eqNullSafe(F.lit(part))
+            return same
+
+        return F.when(
+            F.size(bound) > 0, F.filter(F.sequence(F.lit(0), F.size(bound) - 1), here)
+        ).otherwise(F.array().cast("array<int>"))
 
-    places = F.sequence(F.lit(0), F.size(words) - 1)
-    return F.filter(places, lambda i: here(None, i))
+    return F.transform(F.array(words), places)[0]
 
 
 def phrase_places(text: Column, phrases=PHRASES) -> Column:

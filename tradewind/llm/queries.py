@@ -215,7 +215,7 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _licenses_expected() -> str:
-    """Templates are compared with every line, without any filter."""
+    """Templates are compared with every window of words, without any filter."""
     word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
     def quoted(words: "list[str]") -> str:
@@ -223,8 +223,10 @@ def _licenses_expected() -> str:
 
     phrases = ", ".join(f"({quoted(p.split())}, '{label}')" for p, label in licenses.PHRASES)
     templates = ", ".join(
-        f"({i}, {quoted(t.words)}, '{t.label}')" for i, t in enumerate(licenses.TEMPLATES)
+        f"({quoted(t.words)}, {quoted(t.must.split())}, {quoted(t.without.split() or ['-'])}, '{t.label}')"
+        for t in licenses.TEMPLATES
     )
+    step = max(len(t.text.split()) for t in licenses.TEMPLATES)
     small = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return f"""
         WITH texts AS (SELECT doc_id, {small.format("coalesce(text, '')")} AS text FROM documents),
@@ -241,12 +243,13 @@ def _licenses_expected() -> str:
                    max(start)::BIGINT AS last_word
             FROM places GROUP BY doc_id),
         blocks AS (
-            SELECT doc_id, regexp_extract_all(line, '{word}') AS w
-            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)),
+            SELECT doc_id, w[{step} * i + 1:{step} * i + {2 * step}] AS w
+            FROM worded, range(0, greatest(len(w) - {step} - 1, 0) // {step} + 1) r(i)),
         alike AS (
             SELECT doc_id, t.label, len(list_intersect(w, t.words))::DOUBLE / len(t.words) AS share
-            FROM blocks, (VALUES {templates}) t(i, words, label)
-            WHERE 100 * len(list_intersect(w, t.words)) >= {licenses.PERCENT} * len(t.words)),
+            FROM blocks, (VALUES {templates}) t(words, must, without, label)
+            WHERE 100 * len(list_intersect(w, t.words)) >= {licenses.PERCENT} * len(t.words)
+              AND list_has_all(w, t.must) AND NOT list_has_any(w, t.without)),
         labelled AS (
             SELECT doc_id, label, true AS base, 1.0::DOUBLE AS share FROM places
             UNION ALL SELECT doc_id, label, false, share FROM alike),
