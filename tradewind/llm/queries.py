@@ -142,7 +142,7 @@ def _secrets_expected() -> str:
     """Per rule: pieces between the matches and the matches give the places of the matches."""
     parts = []
     for place, rule in enumerate(secrets.RULES):
-        pattern = rule.pattern.replace("'", "''")
+        pattern = (rule.plain or rule.pattern).replace("'", "''")
         parts.append(
             f"""
             SELECT doc_id, {place} AS place, '{rule.kind}' AS kind,

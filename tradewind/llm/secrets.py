@@ -25,7 +25,8 @@ from tradewind.sinks.shared import shared_dir
 class Rule:
     """Matches of ``pattern``, leftmost and not overlapping, whose ``group`` has ``least`` characters.
 
-    ``needs`` must match wherever the pattern does; texts without it are passed by.
+    ``needs`` must match wherever the pattern does; texts without it are passed by. ``plain`` says the
+    same as the pattern to an engine that has no possessive repetitions.
     """
 
     kind: str
@@ -34,6 +35,7 @@ class Rule:
     least: int = 1
     needs: "str | None" = None
     version: int = 1
+    plain: "str | None" = None
 
     @property
     def name(self) -> str:
@@ -51,24 +53,40 @@ BASE_RULES = (
     Rule("access", "AKIA[A-Z0-9]+", least=20, needs="AKIA[A-Z0-9]{16}"),
     Rule("hex", "[0-9a-f]+", least=24, needs="[0-9a-f]{24}"),
 )
-_KEY_BEGIN = "-----BEGIN (?:[A-Z]+ ){0,4}PRIVATE KEY-----"
-# up to the END line; no five dashes lie between, so another key's BEGIN is not passed
-_KEY_TO_END = "[^-]*(?:-[^-]+){0,200}-----END (?:[A-Z]+ ){0,4}PRIVATE KEY-----"
-# without END: header fields, long base64 runs, and a short last one that has a line to itself,
-# follows a written-out line break or is padded
-_KEY_CUT = (
-    "(?:[\\s>]+[A-Z][A-Za-z]*-[A-Z][A-Za-z]*: [^\\r\\n]*){0,8}"
-    "(?:[\\s\\\\>\"'#*|,]*[A-Za-z0-9+/=]{16,})*"
-    "(?:[\"',]*\\r?\\n[\\x20\\t>\"'#*|]*[A-Za-z0-9+/=]{1,15}[\"',]*(?:\\r?\\n|\\z)"
-    "|(?:\\\\[nr])+[A-Za-z0-9+/=]{1,15}|\\x20[A-Za-z0-9+/]{1,15}={1,2})?"
-)
+
+
+def _key(own: str, between: str, word: str) -> "tuple[str, str]":
+    """(begin, whole) of a private key; ``own`` makes a repetition possessive.
+
+    A possessive group is gone through in a loop, where a plain one costs a stack frame a line. No
+    choice is lost by it: what may follow a repetition can't begin with what it repeats.
+    """
+    named = f"(?:{word} )*{own}PRIVATE KEY(?: BLOCK)?-----"
+    begin = f"-----BEGIN {named}"
+    # up to the END line; no five dashes lie between, so another key's BEGIN is not passed
+    to_end = f"(?:{between})*{own}-----END {named}"
+    # without END: header fields, base64 runs of at least 16 characters, so that prose is no key, and
+    # a shorter last one that has a line to itself, follows a written-out line break or is padded
+    cut = (
+        f"(?:[\\s>]+{own}[A-Z][A-Za-z]*-[A-Z][A-Za-z]*: [^\\r\\n]*{own})*{own}"
+        f"(?:[\\s\\\\>\"'#*|,]*{own}[A-Za-z0-9+/=]{{16,}}{own})*{own}"
+        "(?:[\"',]*\\r?\\n[\\x20\\t>\"'#*|]*[A-Za-z0-9+/=]{1,15}[\"',]*(?:\\r?\\n|\\z)"
+        "|(?:\\\\[nr])+[A-Za-z0-9+/=]{1,15}|\\x20[A-Za-z0-9+/]{1,15}={1,2})?"
+    )
+    return begin, f"{begin}(?:{to_end}|{cut})"
+
+
+_KEY_BEGIN, _KEY = _key("+", "[^-]++|-(?!----)", "(?!PRIVATE KEY)[A-Z0-9]+")
+# the same for engines without possessive repetitions
+KEY_PLAIN = _key("", "[^-]+|-{1,4}[^-]", "[A-Z0-9]+")[1]
 # kinds of the ledger's own
 MORE_RULES = (
     Rule(
         "private_key",
-        f"{_KEY_BEGIN}(?:{_KEY_TO_END}|{_KEY_CUT})",
+        _KEY,
         needs=_KEY_BEGIN,
-        version=2,
+        version=3,
+        plain=KEY_PLAIN,
     ),
     Rule("vcs_token", "gh[pousr]_[A-Za-z0-9]{36,}"),
 )
@@ -101,34 +119,51 @@ def _places(text: Column, rule: Rule) -> Column:
 
     ``split`` gives the pieces between the matches, ``regexp_extract_all`` the matches, both
     leftmost and not overlapping. The k-th match starts where its piece ends: at the lengths of
-    k pieces and k - 1 matches, added up as the pairs are gone through.
+    k pieces and k - 1 matches. These are added up in blocks of about the square root of their
+    number, and then block by block, as each step of a fold copies the list it extends.
     """
-    wanted = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    matched = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     pairs = F.arrays_zip(
         F.split(text, rule.pattern, -1).alias("piece"),
-        matched.alias("match"),
-        wanted.alias("wanted"),
+        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)).alias("match"),
+        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)).alias("wanted"),
     )
-    start = F.struct(
-        F.lit(0).alias("at"), F.array().cast(_NO_SPANS).alias("spans")
+    lengths = F.transform(
+        pairs,
+        lambda x: F.struct(
+            F.length(x["piece"]).alias("before"),
+            F.coalesce(F.length(x["match"]), F.lit(0)).alias("long"),
+            (F.length(x["wanted"]) >= rule.least).alias("keep"),
+        ),
     )
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_NO_SPANS).alias("spans"))
+
+    def span(start: Column, end: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(rule.name).alias("rule"), end.alias("end"))
 
-    def step(acc: Column, pair: Column) -> Column:
-        begin = acc["at"] + F.length(pair["piece"])
-        end = begin + F.coalesce(F.length(pair["match"]), F.lit(0))
-        span = F.struct(
-            begin.alias("start"), F.lit(rule.name).alias("rule"), end.alias("end")
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + x["before"]
+        end = begin + x["long"]
+        spans = F.when(x["keep"], F.concat(acc["spans"], F.array(span(begin, end))))
+        return F.struct(end.alias("at"), spans.otherwise(acc["spans"]).alias("spans"))
+
+    def join(acc: Column, block: Column) -> Column:
+        moved = F.transform(
+            block["spans"], lambda s: span(s["start"] + acc["at"], s["end"] + acc["at"])
         )
-        keep = F.length(pair["wanted"]) >= rule.least
         return F.struct(
-            end.alias("at"),
-            F.when(keep, F.concat(acc["spans"], F.array(span)))
-            .otherwise(acc["spans"])
-            .alias("spans"),
+            (acc["at"] + block["at"]).alias("at"), F.concat(acc["spans"], moved).alias("spans")
         )
 
-    return F.aggregate(pairs, start, step, lambda acc: acc["spans"])
+    def added(bound: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(bound))).cast("int")
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(bound) - 1) / width).cast("int")),
+            lambda i: F.aggregate(F.slice(bound, i * width + 1, width), zero, step),
+        )
+        return F.aggregate(blocks, zero, join, lambda acc: acc["spans"])
+
+    # the lambda binds the list, which is never empty
+    return F.transform(F.array(lengths), added)[0]
 
 
 def rule_spans(text: Column, rule: Rule) -> Column:
@@ -145,9 +180,17 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     at most as many rows as there were rule versions.
     """
     rows = spark.read.schema(LEDGER).parquet(ledger)
-    return rows.groupBy("blob").agg(
-        F.array_distinct(F.flatten(F.collect_list("rules"))).alias("rules"),
-        F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"),
+    scans = rows.groupBy("blob").agg(F.collect_list(F.struct("rules", "found")).alias("scans"))
+
+    def new(scan: Column, i: Column) -> Column:
+        """What a scan found by rules that no scan before it ran, should one have been repeated."""
+        earlier = F.flatten(F.slice("scans.rules", F.lit(1), i))
+        return F.filter(scan["found"], lambda s: ~F.array_contains(earlier, s["rule"]))
+
+    return scans.select(
+        "blob",
+        F.array_distinct(F.flatten("scans.rules")).alias("rules"),
+        F.flatten(F.transform("scans", new)).alias("found"),
     )
 
 
