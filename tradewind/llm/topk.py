@@ -11,6 +11,7 @@ A query's first threshold is its k-th best in one block of rows, a valid bound f
 query block meets every row block in a task of its own; a task returns k rows per query at most.
 """
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,6 +60,9 @@ def _block(dim: int, ids: np.ndarray, rows: np.ndarray) -> pd.DataFrame:
     kind = np.float32 if small else np.float64
     return pd.DataFrame(
         {
+            # a name of its own: blocks of repeated rows have the same keys. Blocks are written,
+            # so the name that a task gives one stays
+            "name": [uuid.uuid4().hex],
             "dim": [int(dim)],
             "first": [int(ids.min())],
             "ids": [ids.astype("<i8").tobytes()],
@@ -68,7 +72,7 @@ def _block(dim: int, ids: np.ndarray, rows: np.ndarray) -> pd.DataFrame:
     )
 
 
-_BLOCK = "dim int, first long, ids binary, data binary, wide boolean"
+_BLOCK = "name string, dim int, first long, ids binary, data binary, wide boolean"
 
 
 def _unpacked(dim: int, ids: bytes, data: bytes, wide: bool) -> "tuple[np.ndarray, np.ndarray]":
@@ -206,18 +210,15 @@ def top_k(
     )
     queries = queries.select(
         "dim",
-        F.col("first").alias("q_first"),
+        F.col("name").alias("q_name"),
         F.col("ids").alias("q_ids"),
         F.col("data").alias("q_data"),
         F.col("wide").alias("q_wide"),
     )
 
     # the block with the smallest key of each length gives every query its first threshold
-    chosen = blocks.groupBy("dim").agg(F.min("first").alias("_first"))
-    probe = blocks.join(
-        chosen.withColumnRenamed("dim", "_d"),
-        (F.col("dim") == F.col("_d")) & (F.col("first") == F.col("_first")),
-    ).drop("_d", "_first")
+    chosen = blocks.groupBy("dim").agg(F.min(F.struct("first", "name"))["name"].alias("_chosen"))
+    probe = blocks.join(chosen.select("_chosen"), F.col("name") == F.col("_chosen")).drop("_chosen")
     tasks = queries.withColumn("least", F.lit(None).cast("binary"))
     first = kept(_pairs(tasks, probe, k), "first")
     kth = (
@@ -240,10 +241,10 @@ def _with_least(queries: DataFrame, kth: DataFrame) -> DataFrame:
     def packed(least: pd.Series) -> pd.Series:
         return least.map(lambda x: np.array(x, dtype="<f8").tobytes())
 
-    each = queries.select("dim", "q_first", F.posexplode(listed("q_ids")).alias("place", "id"))
+    each = queries.select("q_name", F.posexplode(listed("q_ids")).alias("place", "id"))
     least = (
         each.join(kth, F.col("id") == F.col("query_id"), "left")
-        .groupBy(F.col("dim").alias("_dim"), F.col("q_first").alias("_first"))
+        .groupBy(F.col("q_name").alias("_name"))
         .agg(
             F.array_sort(
                 F.collect_list(
@@ -251,11 +252,9 @@ def _with_least(queries: DataFrame, kth: DataFrame) -> DataFrame:
                 )
             ).alias("all")
         )
-        .select("_dim", "_first", packed(F.col("all.least")).alias("least"))
+        .select("_name", packed(F.col("all.least")).alias("least"))
     )
-    return queries.join(
-        least, (F.col("dim") == F.col("_dim")) & (F.col("q_first") == F.col("_first"))
-    ).drop("_dim", "_first")
+    return queries.join(least, F.col("q_name") == F.col("_name")).drop("_name")
 
 
 def _pairs(queries: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
@@ -264,9 +263,7 @@ def _pairs(queries: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
     A row block is sent once for each query block, by a join with the narrow list of those (one row
     for ``QUERIES`` queries); the pairs are then keyed by the query block, so they spread evenly.
     """
-    listed = queries.select(F.col("dim").alias("_dim"), F.col("q_first").alias("_first"))
-    sent = blocks.drop("first").join(listed.distinct(), F.col("dim") == F.col("_dim")).drop("dim")
-    pairs = sent.join(
-        queries, (F.col("dim") == F.col("_dim")) & (F.col("q_first") == F.col("_first"))
-    ).drop("_dim", "_first", "q_first")
+    listed = queries.select(F.col("dim").alias("_dim"), F.col("q_name").alias("_name"))
+    sent = blocks.drop("first", "name").join(listed, F.col("dim") == F.col("_dim")).drop("dim", "_dim")
+    pairs = sent.join(queries, F.col("_name") == F.col("q_name")).drop("_name", "q_name")
     return pairs.mapInPandas(_meet(k), _FOUND)
