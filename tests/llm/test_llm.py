@@ -317,9 +317,48 @@ def test_mix_repeats_rows(spark, empty):
     )
     out = mixing.mix(docs)
     assert out.columns == docs.columns
-    plan = {r["doc_id"]: r["copies"] for r in mixing.mix_plan(docs).collect()}
-    assert Counter(r["doc_id"] for r in out.collect()) == {k: n for k, n in plan.items() if n}
-    assert mixing.mix(empty).count() == 0
+    # rates: 3/4 of 150 words over 75, and 2 where the null source is full at most
+    rate = {r["source"]: r["target"] / r["source_size"] for r in mixing.source_rates(
+        docs.select("source", mixing.word_count(F.col("text")).alias("size"))).collect()}
+    found = Counter((r["doc_id"], r["source"]) for r in out.collect())
+    for i in range(50):
+        source = "x" if i < 25 else None
+        assert int(rate[source]) <= found[i, source] <= -(-rate[source] // 1)
+    assert mixing.mix(empty).count() == mixing.mix_plan(empty).count() == 0
+
+
+def test_strata_keep_every_documents_probability_and_sum_near_the_target(spark):
+    # in each source one document has a third of the words; a source in three is full at rate 2
+    names = [f"s{i:03}" for i in range(300)]
+    texts = ["w " * (10 if k == 0 else 1) for _ in names for k in range(21)]
+    docs = documents(spark, *texts, sources=[s for s in names for _ in range(21)])
+    rows = mixing.mix_plan(docs).collect()
+    copies = {r["doc_id"]: r["copies"] for r in rows}
+    for place, rate in enumerate([2, 5 / 6, 5 / 3]):
+        for k in (0, 1, 20):
+            got = [copies[i * 21 + k] for i in range(place, len(names), 3)]
+            assert set(got) <= {int(rate), int(rate) + 1}
+            spread = np.sqrt((rate - int(rate)) * (int(rate) + 1 - rate) * len(got))
+            assert abs(sum(got) - rate * len(got)) <= 3.5 * spread + 1e-9
+    # many documents: a stratum misses its share by one document at most, whatever the sizes
+    rng = np.random.default_rng(8)
+    docs = documents(
+        spark, *["w " * int(n) for n in rng.integers(1, 60, 900)], sources=list("abc") * 300
+    )
+    for group in (50, 1000):
+        rows = mixing.mix_plan(docs, group=group).collect()
+        for target in {r["target"] for r in rows}:
+            off = abs(sum(r["size"] * r["copies"] for r in rows if r["target"] == target) - target)
+            assert off <= 60 * (1 if group == 1000 else np.sqrt(6) * 2)
+
+
+def test_a_repeated_key_is_one_row_until_the_end(spark):
+    docs = documents(spark, *["a b"] * 300, sources=["x"] * 300).withColumn("doc_id", F.lit(5))
+    docs = docs.unionByName(documents(spark, "c", None, "d e f", sources=["x", "y", "y"]))
+    rows = mixing.mix_plan(docs).collect()
+    same = [r["copies"] for r in rows if r["doc_id"] == 5]
+    (rate,) = {r["target"] / r["source_size"] for r in rows if r["doc_id"] == 5}
+    assert len(rows) == 303 and abs(sum(same) - 300 * rate) <= 1
 
 
 def test_heavy_documents_keep_their_probability(spark):
@@ -445,6 +484,19 @@ def test_exact_top_k(spark):
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found) == sorted(want)
 
 
+def test_repeated_rows_change_nothing_in_top_k(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROWS", 32)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(400)]
+    once = vectors(spark, rows)
+    query = F.col("vec_id") % 4 == 0
+    want = sorted(map(tuple, topk.top_k(once, query, k=5).collect()))
+    assert len(want) == 500
+    for repeated in (once.union(once), once.union(once.filter(query)).repartition(5), once.orderBy(F.rand(3))):
+        assert sorted(map(tuple, topk.top_k(repeated, query, k=5).collect())) == want
+
+
 def test_survivors_are_all_that_reach_the_threshold():
     rng = np.random.default_rng(4)
     q, c = rng.integers(-40, 40, (70, 9)).astype(float), rng.integers(-40, 40, (70, 500)).astype(float)

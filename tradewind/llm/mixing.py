@@ -2,12 +2,14 @@
 
 Tokens are added up per source, a source's repetition rate is its target over its size, and
 every document is taken ``floor(rate)`` times plus once more with the probability of the rate's
-fraction. That draw is Bernoulli, seeded by the document's id and a number of the source. With
-``draws=1`` that number is fixed and every document has the probability it is dealt. With more, a
-source uses the one of ``draws`` numbers whose draw comes nearest to its target: that narrows the
-spread of the sum, but documents that weigh much in their source no longer have that probability.
-
-Built-in expressions only. Shuffled are totals per source (partial sums first), never rows.
+fraction, by a hash-seeded draw. ``mix`` draws each document by itself. ``mix_plan`` draws them in
+strata: a source's documents, dealt to groups by hash, are lined up by size, and a document is drawn
+where the running sum of the fraction, begun at the group's hash-seeded number, passes a whole number.
+Every document has the same probability there too, and the draws spread evenly over the sizes, so
+that a source's sum lies near its target.
+
+Built-in expressions only. Shuffled are totals per source (partial sums first) and, for strata, one
+narrow row per distinct document; texts never.
 """
 
 import uuid
@@ -21,7 +23,8 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_RATE = 2.0
-DRAWS = 16
+# documents of a stratum, about
+GROUP = 1000
 # a draw has 48 bits
 _BITS = float(1 << 48)
 
@@ -37,7 +40,7 @@ def source_targets(
     share: float = SHARE,
     max_rate: float = MAX_RATE,
 ) -> DataFrame:
-    """``source, source_size`` (one row per source) -> the same with ``target``.
+    """``source, source_size, n_docs`` (one row per source) -> the same with ``target``.
 
     Sources in code-point order, null last, take the weights in turn. ``share`` of all sizes is
     dealt out by weight; a source stops at ``max_rate`` times its size and what it can't take is
@@ -68,6 +71,7 @@ def source_targets(
         .select(
             "source",
             "source_size",
+            "n_docs",
             F.least("_limit", F.col("_final") * F.col("_weight")).alias("target"),
         )
     )
@@ -85,71 +89,38 @@ def _extra(key: str, seed: Column, part: Column) -> Column:
 
 def source_rates(
     sized: DataFrame,
-    key: str = "doc_id",
     weights: "tuple[int, ...]" = WEIGHTS,
     share: float = SHARE,
     max_rate: float = MAX_RATE,
-    draws: int = DRAWS,
 ) -> DataFrame:
-    """Rows with ``key, source, size`` -> one row per source: its target, rate and seed.
+    """Rows with ``source, size`` -> one row per source: its target and rate.
 
-    Columns: ``source, source_size, target, whole, part, seed``. Sources without words have
-    target and rate 0. Of equally near draws the lowest seed is used.
+    Columns: ``source, source_size, n_docs, target, whole, part``. Sources without words have
+    target and rate 0.
     """
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    totals = sized.groupBy("source").agg(
+        F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")
+    )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    targets = (
+    return (
         source_targets(totals, weights, share, max_rate)
         .withColumn("whole", F.floor(rate).cast("int"))
         .withColumn("part", rate - F.col("whole"))
     )
-    if draws == 1:
-        return targets.withColumn("seed", F.lit(0))
-    sums = (
-        sized.withColumnRenamed("source", "_source")
-        .join(targets.select("source", "part"), F.col("_source").eqNullSafe(F.col("source")))
-        .groupBy("source")
-        .agg(
-            *[
-                F.sum(F.col("size") * _extra(key, F.lit(i), F.col("part"))).alias(f"_sum{i}")
-                for i in range(draws)
-            ]
-        )
-        .withColumnRenamed("source", "_source")
-    )
-    off = F.array(
-        *[
-            F.struct(
-                F.abs(
-                    F.col("source_size") * F.col("whole") + F.col(f"_sum{i}") - F.col("target")
-                ).alias("off"),
-                F.lit(i).alias("seed"),
-            )
-            for i in range(draws)
-        ]
-    )
-    return targets.join(sums, F.col("_source").eqNullSafe(F.col("source"))).select(
-        *targets.columns, F.array_min(off)["seed"].alias("seed")
-    )
 
 
-def _rated(
-    rows: DataFrame, sized: DataFrame, key: str, prefix: str, options: dict
-) -> DataFrame:
-    """``rows`` with their source's rate columns and ``copies``, all named with ``prefix``.
+def _rated(rows: DataFrame, sized: DataFrame, prefix: str, options: dict) -> DataFrame:
+    """``rows`` with their source's rate columns, all named with ``prefix``.
 
     The rates are written: they are one row per source, and Spark sees the size of that table
     before it decides to broadcast it. Rows are not shuffled then.
     """
     spark = rows.sparkSession
     place = shared_dir(spark, "mixing-rates")
-    source_rates(sized, key, **options).write.parquet(place)
+    source_rates(sized, **options).write.parquet(place)
     rates = spark.read.parquet(place)
     rates = rates.select(*[F.col(c).alias(prefix + c) for c in rates.columns])
-    return rows.join(rates, F.col("source").eqNullSafe(F.col(f"{prefix}source"))).withColumn(
-        f"{prefix}copies",
-        F.col(f"{prefix}whole") + _extra(key, F.col(f"{prefix}seed"), F.col(f"{prefix}part")),
-    )
+    return rows.join(rates, F.col("source").eqNullSafe(F.col(f"{prefix}source")))
 
 
 def _sized(docs: DataFrame, key: str) -> DataFrame:
@@ -159,31 +130,60 @@ def _sized(docs: DataFrame, key: str) -> DataFrame:
     return spark.read.parquet(place)
 
 
-def mix_plan(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+def mix_plan(docs: DataFrame, key: str = "doc_id", group: int = GROUP, **options) -> DataFrame:
     """``key, size, source_size, target, copies`` for every row of ``docs``.
 
-    Null texts have size 0. A null or repeated key draws like any other value; rows of one source
-    and key share their draw. Sizes are written once to the shared folder, so that all passes (and
-    one repeated after a lost executor) add up the same table.
+    Null texts have size 0. A null key draws like any other value. Rows with one source, key and size
+    are drawn side by side, and it makes no difference which of them gets a copy; a key that very many
+    rows share is one row with their number until the end. Sizes are written once to the shared
+    folder, so that all passes (and one repeated after a lost executor) add up the same table.
     """
     sized = _sized(docs, key)
     p = f"_{uuid.uuid4().hex[:8]}_"
-    return _rated(sized, sized, key, p, options).select(
-        key,
+    alike = sized.groupBy("source", F.col(key).alias("key"), "size").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    name = F.coalesce(F.col("key").cast("string"), F.lit(""))
+    groups = F.ceil(F.col(f"{p}n_docs") / F.lit(group))
+    dealt = _rated(alike, sized, p, options).withColumn(
+        "stratum", F.floor(_draw(name, F.lit("g")) * groups).cast("long")
+    )
+    line = Window.partitionBy("source", "stratum").orderBy(
+        "size", _draw(name, F.lit("o")), F.col("key").asc_nulls_last()
+    )
+    begun = _draw(
+        F.concat_ws(":", F.col("stratum").cast("string"), F.coalesce("source", F.lit(""))), F.lit("u")
+    )
+    part = F.col(f"{p}part")
+    each = dealt.select(
+        "*",
+        begun.alias("begun"),
+        (F.sum("rows").over(line.rowsBetween(Window.unboundedPreceding, 0)) - F.col("rows")).alias(
+            "before"
+        ),
+    ).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    place = F.col("before") + F.col("nth")
+    drawn = F.floor(place * part + F.col("begun")) - F.floor((place - 1) * part + F.col("begun"))
+    return each.select(
+        F.col("key").alias(key),
         "size",
         F.col(f"{p}source_size").alias("source_size"),
         F.col(f"{p}target").alias("target"),
-        F.col(f"{p}copies").alias("copies"),
+        (F.col(f"{p}whole") + drawn).cast("int").alias("copies"),
     )
 
 
 def mix(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The mixed documents: each row of ``docs`` as often as its copies, with its own columns.
 
-    Texts are read twice and never shuffled. Helper columns have names that ``docs`` can't have.
+    Texts are read twice and never shuffled; a document's draw depends on its key alone, so rows of one
+    source and key share it. Helper columns have names that ``docs`` can't have.
     """
     p = f"_{uuid.uuid4().hex[:8]}_"
-    rated = _rated(docs, _sized(docs, key), key, p, options).filter(F.col(f"{p}copies") > 0)
-    return rated.withColumn(
-        f"{p}copy", F.explode(F.sequence(F.lit(1), F.col(f"{p}copies")))
-    ).select(*docs.columns)
+    copies = F.col(f"{p}whole") + _extra(key, F.lit(0), F.col(f"{p}part"))
+    rated = _rated(docs, _sized(docs, key), p, options).withColumn(f"{p}copies", copies)
+    return (
+        rated.filter(F.col(f"{p}copies") > 0)
+        .withColumn(f"{p}copy", F.explode(F.sequence(F.lit(1), F.col(f"{p}copies"))))
+        .select(*docs.columns)
+    )

@@ -380,19 +380,27 @@ LLM_EXPECTED = {
         rates AS (
             SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate
             FROM targets),
-        draws AS (
-            SELECT s.doc_id, s.source, s.size, r.source_size, r.target, r.rate, i.seed,
-                   floor(r.rate)::INT + (('0x' || substr(md5(i.seed::VARCHAR || ':' ||
-                       coalesce(s.doc_id::VARCHAR, '')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE
-                       < r.rate - floor(r.rate))::INT AS copies
-            FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source,
-                 range(16) i(seed)),
-        chosen AS (
-            SELECT source, seed FROM draws GROUP BY source, seed
-            QUALIFY row_number() OVER (PARTITION BY source ORDER BY
-                abs(sum(size * copies) - max(target)), seed) = 1)
-        SELECT d.doc_id, d.size, d.source_size, d.target, (d.size * d.copies)::BIGINT AS taken,
-               d.copies
-        FROM draws d JOIN chosen c ON d.seed = c.seed AND d.source IS NOT DISTINCT FROM c.source
+        counted AS (SELECT source, count(*) AS n FROM sized GROUP BY source),
+        named AS (
+            SELECT s.*, r.source_size, r.target, r.rate, coalesce(s.doc_id::VARCHAR, '') AS name, c.n
+            FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source
+                 JOIN counted c ON s.source IS NOT DISTINCT FROM c.source),
+        dealt AS (
+            SELECT *, floor(('0x' || substr(md5('g:' || name), 1, 12))::BIGINT
+                            / 281474976710656.0::DOUBLE * ceil(n / 1000.0::DOUBLE))::BIGINT AS stratum,
+                   ('0x' || substr(md5('o:' || name), 1, 12))::BIGINT AS line
+            FROM named),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY source, stratum
+                                         ORDER BY size, line, doc_id NULLS LAST) AS place,
+                   ('0x' || substr(md5('u:' || stratum || ':' || coalesce(source, '')), 1, 12))::BIGINT
+                   / 281474976710656.0::DOUBLE AS begun,
+                   rate - floor(rate) AS part
+            FROM dealt),
+        drawn AS (
+            SELECT *, (floor(rate) + floor(place * part + begun)
+                       - floor((place - 1) * part + begun))::INT AS copies
+            FROM placed)
+        SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies FROM drawn
     """,
 }
