@@ -24,6 +24,7 @@ from tradewind.llm import (
     toxicity,
     vectext,
 )
+from tests.llm.test_queries import SF_DIR
 from tradewind.llm.queries import vocabulary
 
 DOCUMENT = T.StructType(
@@ -581,13 +582,33 @@ def test_language_is_told_from_held_out_text(spark, empty):
     assert langid.predict(odd, nothing, out="p").filter("p.code <> 'und'").count() == 0
 
 
-def test_the_fit_uses_the_whole_sample(spark, monkeypatch):
+FOREIGN = [
+    "Jeg har bodd i Norge hele mitt liv og jeg liker å gå på ski om vinteren med familien min.",
+    "Это предложение написано на русском языке и не должно приниматься.",
+    "これは日本語の文章です。受け入れられるべきではありません。",
+    "Ez a mondat magyar nyelven íródott, és nem szabad elfogadni, mert nem ismert.",
+    "Bu cümle Türkçe yazılmıştır ve kabul edilmemelidir çünkü bilinmiyor.",
+    "Tämä lause on kirjoitettu suomeksi eikä sitä pitäisi hyväksyä lainkaan.",
+]
+
+
+def test_text_in_a_language_not_learnt_is_rejected(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    model = langid.fit(docs)
+    odd = documents(spark, *FOREIGN, *[" ".join([t] * 2000) for t in FOREIGN[:2]])
+    rows = langid.predict(odd, model).collect()
+    assert all(r["language"]["rejected"] and r["language"]["score"] < 0.5 for r in rows)
+    known = langid.predict(docs, model).selectExpr("avg(int(language.rejected))", "avg(int(language.code = lang))")
+    rejected, right = known.first()
+    assert rejected <= 0.03 and right >= 0.98
+
+
+def test_the_fit_uses_the_whole_sample(spark):
     texts = [f"dabu{i} gado" if i % 2 else f"miro{i} solu" for i in range(2600)]
     docs = documents(spark, *texts, langs=[("xx", "yy")[i % 2] for i in range(len(texts))])
-    seen = []
-    monkeypatch.setattr(langid, "_temperature", lambda z, t: seen.append(np.bincount(t).sum()) or 1.0)
+    sampled = langid.sample_by_label(docs.select("doc_id", "text", "lang"), "doc_id", "lang", 1200)
+    assert langid.PER_LANGUAGE == 1200 and abs(sampled.count() - 2400) < 120
     model = langid.fit(docs.repartition(5), bits=12, epochs=1)
-    assert langid.PER_LANGUAGE == 1200 and seen == [2 * 1200 // langid.HELD_BACK]
     # the order of the rows is no part of the result
     again = langid.fit(docs.repartition(3, "text"), bits=12, epochs=1)
     assert np.array_equal(model.table, again.table) and model.languages == ["xx", "yy"]
