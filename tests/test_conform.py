@@ -237,3 +237,30 @@ def test_no_line_of_an_order_is_lost(spark):
     ]
     keys = [r["order_item_id"] for r in items if r["sku"]]
     assert len(set(keys)) == 3
+
+
+def lines_of(spark, tmp_path, *orders):
+    D.write(tmp_path, "p.json", [D.pos_transaction(f"t{i}", items) for i, items in enumerate(orders)])
+    return conform.pos_items(latest(read_pos(spark, str(tmp_path)), "pos")).collect()
+
+
+def test_a_real_sku_never_has_the_key_of_a_repeated_one(spark, tmp_path):
+    skus = ["A", "A", "A#2", "A#2", None, "B", None, "A"]
+    rows = lines_of(spark, tmp_path, [(s, "x", n, 1.0, 1.0) for n, s in enumerate(skus)], [], None)
+    keys = {int(r["quantity"]): r["order_item_id"] for r in rows}
+    assert len(rows) == len(skus) and [n for n, k in sorted(keys.items()) if k is None] == [4, 6]
+    assert len({k for k in keys.values() if k}) == 6
+    # all lines survive the union, those without a key too
+    items = conform.pos_items(latest(read_pos(spark, str(tmp_path)), "pos"))
+    assert conform.union_items({"pos": items}).count() == len(skus)
+
+
+def test_an_order_of_many_lines_takes_no_longer_than_their_number(spark, tmp_path):
+    n = 30_000
+    rows = lines_of(
+        spark,
+        tmp_path,
+        [(f"S{i % 1000}", "x", i, 1.0, 1.0) for i in range(n)],
+        [("S", "x", i, 1.0, 1.0) for i in range(n)],
+    )
+    assert len(rows) == 2 * n == len({r["order_item_id"] for r in rows})

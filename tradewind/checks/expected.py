@@ -174,10 +174,14 @@ POS_ORDERS = """SELECT 'T' || lid AS order_id, 'T' || lid AS order_number, 'pos'
     xc / 100.0::DOUBLE AS tax_amount, (pc + xc) / 100.0::DOUBLE AS total_amount,
     l_linestatus AS payment_method, 'PAID' AS payment_status, 'Store ' || l_suppkey AS region
     FROM pl"""
-# The key of a SKU that an order lists again holds its number among them.
-AGAIN = """CASE row_number() OVER (PARTITION BY lid, xsku ORDER BY n)
-    WHEN 1 THEN '' ELSE '#' || row_number() OVER (PARTITION BY lid, xsku ORDER BY n) END"""
-POS_ITEMS = f"""SELECT sha256('T' || lid || '-' || xsku || {AGAIN}) AS order_item_id, 'T' || lid AS order_id,
+# The key of a SKU that an order lists again is made from its key and its number among them.
+def again(order: str) -> str:
+    n = "row_number() OVER (PARTITION BY lid, xsku ORDER BY n)"
+    return f"""CASE {n} WHEN 1 THEN sha256({order} || '-' || xsku)
+    ELSE sha256(sha256({order} || '-' || xsku) || '#' || {n}) END"""
+
+
+POS_ITEMS = f"""SELECT {again("'T' || lid")} AS order_item_id, 'T' || lid AS order_id,
     xsku AS sku, xtitle AS title, xqty AS quantity,
     CASE WHEN n = 1 THEN up ELSE xc / 100.0::DOUBLE END AS unit_price,
     CASE WHEN n = 1 THEN l_extendedprice ELSE xc / 100.0::DOUBLE END AS total_amount FROM px"""
@@ -206,8 +210,7 @@ AMAZON_ORDERS = """SELECT aid AS order_id, 'AMZ-' || lid AS order_number, 'amazo
     CASE WHEN l_returnflag IN ('A', 'R') THEN xc / 100.0::DOUBLE END AS tax_amount,
     (pc + xc) / 100.0::DOUBLE AS total_amount, 'COD' AS payment_method, 'PAID' AS payment_status,
     'Amazon.in' AS region FROM al"""
-AMAZON_ITEMS = f"""SELECT sha256(aid || '-' || xsku || {AGAIN.replace("lid", "aid")})
-    AS order_item_id, aid AS order_id, xsku AS sku,
+AMAZON_ITEMS = f"""SELECT {again("aid").replace("BY lid", "BY aid")} AS order_item_id, aid AS order_id, xsku AS sku,
     xtitle AS title, xqty AS quantity,
     CASE WHEN xqty <> 0 THEN xamt / xqty END AS unit_price, xamt AS total_amount FROM ax"""
 

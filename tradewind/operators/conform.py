@@ -9,7 +9,7 @@ amazon, with tax for the distributor. Customer ids are whatever identity the cha
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind import schemas as S
@@ -132,25 +132,53 @@ def pos_orders(df: DataFrame) -> DataFrame:
     )
 
 
+def _runs(items: Column, sku: str) -> Column:
+    """The items by SKU: for each, an array of (sku, at, line) in the order's own order.
+
+    The array is sorted by SKU and place and cut where the SKU changes, which takes no longer than
+    the sort. The lambdas bind what they are given, so nothing is evaluated again for each item.
+    """
+    placed = F.transform(
+        items, lambda x, i: F.struct(x[sku].alias("sku"), i.alias("at"), x.alias("line"))
+    )
+
+    def cut(by_sku: Column) -> Column:
+        def begins(j: Column) -> Column:
+            same = F.get(by_sku, j)["sku"].eqNullSafe(F.get(by_sku, j - 1)["sku"])
+            return (j == 0) | ~same
+
+        def slices(starts: Column) -> Column:
+            return F.transform(
+                starts,
+                lambda start, n: F.slice(
+                    by_sku, start + 1, F.coalesce(F.get(starts, n + 1), F.size(by_sku)) - start
+                ),
+            )
+
+        starts = F.filter(F.sequence(F.lit(0), F.size(by_sku) - 1), begins)
+        return F.when(F.size(by_sku) > 0, F.transform(F.array(starts), slices)[0])
+
+    return F.transform(F.array(F.array_sort(placed)), cut)[0]
+
+
 def _keyed_lines(df: DataFrame, order_id: str, items: str, sku: str) -> DataFrame:
     """``order_id, line, order_item_id`` of every item; the key is that of order and SKU.
 
-    A SKU that an order lists again gets a key of its own, by its number among the order's lines of
-    that SKU: an upsert takes one row per key, and no line may be lost.
+    A SKU that an order lists again gets a key of its own, made from that key and its number among
+    the order's lines of the SKU: an upsert takes one row per key, and no line may be lost. No SKU
+    can have such a key, as an order's id and SKU are joined by a hyphen and a key holds none.
     """
-    lines = df.select(
-        F.col(order_id).alias("order_id"),
-        F.col(items).alias("_items"),
-        F.posexplode(items).alias("_at", "line"),
+    lines = (
+        df.select(F.col(order_id).alias("order_id"), F.explode(_runs(F.col(items), sku)).alias("_run"))
+        .select("order_id", F.posexplode("_run").alias("_nth", "_item"))
+        .withColumn("_key", item_key("order_id", "_item.sku"))
     )
-    same = F.filter(
-        F.slice("_items", F.lit(1), F.col("_at")),
-        lambda earlier: earlier[sku].eqNullSafe(F.col("line")[sku]),
-    )
-    part = F.when(F.size(same) == 0, F.col("line")[sku]).otherwise(
-        F.concat(F.col("line")[sku], F.lit("#"), (F.size(same) + 1).cast("string"))
+    again = F.sha2(F.concat("_key", F.lit("#"), (F.col("_nth") + 1).cast("string")), 256)
+    return lines.select(
+        "order_id",
+        F.col("_item.line").alias("line"),
+        F.when(F.col("_nth") == 0, F.col("_key")).otherwise(again).alias("order_item_id"),
     )
-    return lines.select("order_id", "line", item_key("order_id", part).alias("order_item_id"))
 
 
 def pos_items(df: DataFrame) -> DataFrame:
@@ -326,10 +354,9 @@ def union_items(by_channel: "dict[str, DataFrame]") -> DataFrame:
         for c in S.CHANNELS
         if c in by_channel
     ]
-    # a key of its own for every item that has none, so they are neither merged nor one task's work
-    alone = F.when(F.col("order_item_id").isNull(), F.monotonically_increasing_id())
-    rows = _union(ranked).withColumn("_alone", alone)
-    return dedupe_latest(rows, ["order_item_id", "_alone"], ["channel_rank"]).drop("_alone")
+    rows = _union(ranked)
+    keyed = dedupe_latest(rows.filter("order_item_id is not null"), ["order_item_id"], ["channel_rank"])
+    return keyed.unionByName(rows.filter("order_item_id is null"))
 
 
 def conform_all(bronze: "dict[str, DataFrame]") -> "tuple[DataFrame, DataFrame]":
