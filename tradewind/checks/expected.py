@@ -296,7 +296,49 @@ EVENT_FEATURES = """ef AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OV
 
 _CRIT, _WARN = "critical", "warning"
 
+POS_DROPS = """SELECT CASE WHEN ok THEN CAST(o_orderkey AS VARCHAR) END AS transaction_id,
+    'st' || o_custkey AS store_id, o_orderpriority AS payment_method, o_totalprice AS total_amount,
+    CASE WHEN NOT ok THEN 'transaction_id: missing' END AS reasons,
+    CASE WHEN ok THEN 'accepted' ELSE 'dead_letter' END AS route
+    FROM (SELECT *, o_orderstatus <> 'P' AS ok FROM orders)"""
+
 EXPECTED = {
+    "ingest_web_drops": with_(SHOP, SHOP_ORDERS),
+    "ingest_market_drops": """
+        SELECT CASE WHEN ok THEN CAST(o_orderkey AS VARCHAR) END AS "AmazonOrderId",
+            o_orderstatus AS "OrderStatus",
+            CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS total,
+            CASE WHEN NOT ok THEN 'AmazonOrderId: missing' END AS reasons,
+            CASE WHEN ok THEN 'accepted' ELSE 'dead_letter' END AS route, '2024-01-01' AS ingest_date
+        FROM (SELECT *, o_orderstatus <> 'P' AS ok FROM orders) WHERE o_custkey % 5 <> 0
+        UNION ALL SELECT NULL, NULL, NULL, 'no Orders list', 'dead_letter', '2024-01-01'
+        FROM (SELECT DISTINCT o_custkey FROM orders) WHERE o_custkey % 5 = 0""",
+    "ingest_pos_drops": POS_DROPS,
+    "stream_restart": POS_DROPS,
+    "ingest_csv_drops": """
+        SELECT CASE WHEN ok THEN l_orderkey || '-' || l_linenumber END AS "TransactionID",
+            CASE WHEN ok THEN 'North, "' || l_suppkey || '" Co' END AS "DistributorName",
+            CASE WHEN ok THEN l_linestatus END AS "Region",
+            CASE WHEN ok THEN strftime(l_shipdate, '%Y-%m-%d') END AS invoice_date,
+            CASE WHEN ok THEN CAST(l_partkey AS VARCHAR) END AS "SKU",
+            CASE WHEN ok THEN CAST(l_quantity AS INT) END AS "Quantity",
+            CASE WHEN ok THEN l_extendedprice END AS "UnitPrice",
+            CASE WHEN NOT ok THEN 'Quantity: type' END AS reasons,
+            CASE WHEN ok THEN 'accepted' ELSE 'dead_letter' END AS route
+        FROM (SELECT *, l_returnflag <> 'R' AS ok FROM lineitem)""",
+    "contract_types": """
+        SELECT CAST(p_partkey AS VARCHAR) AS file, 'size: type' AS error FROM part WHERE p_size % 3 = 0
+        UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'tags: type' FROM part WHERE p_size % 4 = 0
+        UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'brand: pattern' FROM part
+        WHERE NOT regexp_matches(p_brand, '^Brand#[1-3]')""",
+    "lake_guards": """
+        SELECT 'available' AS what, CASE WHEN count(*) > 0 THEN 'true' ELSE 'false' END AS "value"
+        FROM orders
+        UNION ALL SELECT 'empty', 'false' UNION ALL SELECT 'missing', 'false'
+        UNION ALL SELECT 'rows', CAST(count(*) AS VARCHAR) FROM orders
+        UNION ALL SELECT 'stamped', '2024-01-01'
+        UNION ALL SELECT 'latest', strftime(max(o_orderdate), '%Y-%m-%d') FROM orders
+        UNION ALL SELECT 'skipped rules', '6'""",
     "daily_revenue_channel": with_(ORDERS, daily("so")),
     "inventory_turnover": with_(f"{ORDERS}, {ITEMS}", inventory("it", "so")),
     "customer_360": with_(ORDERS, customers("so")),

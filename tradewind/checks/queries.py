@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tradewind import schemas as S
 from tradewind.checks import frames as T
+from tradewind.checks.drops import DROP_QUERIES
 from tradewind.functions import decode_json, item_key, money_sum
 from tradewind.operators import conform, contract, features, marts, quality, reports
 from tradewind.operators.dedupe import dedupe_latest, duplicate_keys
@@ -534,4 +535,5 @@ QUERIES = {
     "lookup_features": lookup_features,
     "customer_features": customer_features,
     "product_features": product_features,
+    **DROP_QUERIES,
 }
