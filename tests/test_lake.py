@@ -8,6 +8,7 @@ from tradewind import schemas as S
 from tradewind.operators import features as FE
 from tradewind.operators.quality import ORDER_RULES, QualityGateError
 from tradewind.plans import ingest_batch, materialize_features, refresh_gold, refresh_silver
+from tradewind.plans.features import snapshots
 from tradewind.sinks import ensure_table, merge_statement, publish, retire, shared_dir, upsert_into
 from tradewind.sources import feature_source, is_available, load_table, register_view, stamp
 
@@ -208,3 +209,21 @@ def test_materialize(spark):
 def test_stamp(spark):
     at = datetime(2026, 1, 2)
     assert stamp(spark.range(1), at).first()["_processed_at"] == at
+
+
+def test_a_back_dated_run_reads_no_later_snapshot(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "customer_id string, v int")
+    view = FE.FeatureView("v", ("customer_id",), ("v",))
+    days = [datetime(2026, 1, 1), datetime(2026, 5, 1), datetime(2026, 5, 20)]
+    for n, at in enumerate(days):
+        snapshot = view.select(FE.feature_snapshot(rows.withColumn("v", rows.v + 10 * n), at, at))
+        snapshot.write.parquet(f"{tmp_path}/day={at:%Y-%m-%d}/snapshot={n}")
+    source = snapshots(spark, str(tmp_path), view, datetime(2026, 5, 2))
+    assert len({f.split("day=")[1][:10] for f in source.inputFiles()}) >= 1
+    plan = source._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    got = {r["customer_id"]: r["v"] for r in FE.materialize(source, view, datetime(2026, 5, 2)).collect()}
+    assert got == {"a": 11, "b": 12}
+    # nothing within the time to live
+    early = snapshots(spark, str(tmp_path), view, datetime(2025, 12, 31))
+    assert FE.materialize(early, view, datetime(2025, 12, 31)).count() == 0

@@ -165,6 +165,9 @@ def test_a_hot_invoice_is_split(spark, tmp_path, no_broadcast):
         BRONZE["distributor_sales"],
     )
     touched = latest_rows("distributor", rows, "2026-07-02")
+    # what is ranked was cut to the touched invoices' rows before
+    logical = touched._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in logical[logical.index("Window") :]
     assert len(touched.collect()) == N // 3 + 1 and splits(touched)
 
 

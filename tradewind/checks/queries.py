@@ -466,7 +466,7 @@ def lookup_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customer view over the customer mart: last purchase in the 90 days to the end date."""
+    """The customer view over a snapshot of the customer mart: every customer is there."""
     mart = marts.customer_360(T.orders(spark, sf_dir))
     end = datetime(2001, 7, 1)
     snapshot = features.customer_snapshot(mart, end)

@@ -48,22 +48,19 @@ def feature_snapshot(gold: DataFrame, event_ts, created_ts) -> DataFrame:
     )
 
 
-def customer_snapshot(customers: DataFrame, created_ts) -> DataFrame:
-    """Customer features as of each customer's last purchase."""
-    return CUSTOMER_FEATURES.select(
-        feature_snapshot(customers, F.col("last_purchase_date"), created_ts)
-    )
+def customer_snapshot(customers: DataFrame, as_of) -> DataFrame:
+    """Features of every customer as the mart has them at ``as_of``."""
+    return CUSTOMER_FEATURES.select(feature_snapshot(customers, as_of, as_of))
 
 
-def product_snapshot(inventory: DataFrame, created_ts) -> DataFrame:
-    """Product features per SKU, folded from the day x SKU mart, as of the last sales day."""
+def product_snapshot(inventory: DataFrame, as_of) -> DataFrame:
+    """Features of every SKU at ``as_of``, folded from the day x SKU mart."""
     per_sku = inventory.groupBy("sku").agg(
         F.max_by("product_title", F.struct("sales_date", "product_title")).alias("product_title"),
         F.sum("units_sold").alias("units_sold"),
         money_sum("total_sales_amount").alias("total_sales_amount"),
-        F.max("sales_date").try_cast("timestamp").alias("last_sale"),
     )
-    return PRODUCT_FEATURES.select(feature_snapshot(per_sku, F.col("last_sale"), created_ts))
+    return PRODUCT_FEATURES.select(feature_snapshot(per_sku, as_of, as_of))
 
 
 def materialize(source: DataFrame, view: FeatureView, end, start=None) -> DataFrame:

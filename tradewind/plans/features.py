@@ -1,10 +1,14 @@
 """Gold -> feature snapshots -> the online feature tables."""
 
-from pyspark.sql import SparkSession
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradewind.operators.features import (
     CUSTOMER_FEATURES,
     PRODUCT_FEATURES,
+    FeatureView,
     customer_snapshot,
     materialize,
     product_snapshot,
@@ -13,10 +17,22 @@ from tradewind.sinks.lake import publish, write_snapshot
 from tradewind.sources.lake import load_table
 
 
-def materialize_features(spark: SparkSession, snapshot_root: str, version: str, end) -> None:
-    """Export the marts as feature sources, then publish the latest row per entity.
+def snapshots(spark: SparkSession, root: str, view: FeatureView, end: datetime) -> DataFrame:
+    """The snapshots a view can use at ``end``: by the folder's day, later and outlived ones are not
+    read."""
+    day = F.col("day").cast("date")
+    begin = end - view.ttl
+    return spark.read.parquet(root).filter(day.between(F.lit(begin.date()), F.lit(end.date())))
+
+
+def materialize_features(
+    spark: SparkSession, snapshot_root: str, version: str, end: datetime
+) -> None:
+    """Export the marts as feature sources, then publish the latest row per entity at ``end``.
 
-    Each run adds a snapshot folder; the views read all of them, newest row first.
+    A run adds the state of the marts at ``end`` as a snapshot: every customer and SKU has a row. The
+    views read the snapshots of their time to live, newest row first; a run for an earlier ``end``
+    sees none of a later day.
     """
     sources = {
         CUSTOMER_FEATURES: customer_snapshot(load_table(spark, "gold.customer_360"), end),
@@ -25,6 +41,6 @@ def materialize_features(spark: SparkSession, snapshot_root: str, version: str,
     spark.sql("CREATE SCHEMA IF NOT EXISTS online")
     for view, snapshot in sources.items():
         root = f"{snapshot_root}/{view.name}"
-        write_snapshot(snapshot, f"{root}/snapshot={version}")
-        online = materialize(spark.read.parquet(root), view, end)
+        write_snapshot(snapshot, f"{root}/day={end:%Y-%m-%d}/snapshot={version}")
+        online = materialize(snapshots(spark, root, view, end), view, end)
         publish(online, f"online.{view.name}", version)
