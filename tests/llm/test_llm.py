@@ -679,6 +679,21 @@ def test_forward_backward_against_all_paths():
         assert np.allclose(p[begin:end], on / total)
 
 
+def test_clashing_columns_and_long_texts_in_the_classifiers(spark):
+    texts = ["fine calm words here", "bad worse words there"] * 40
+    docs = documents(spark, *texts).withColumns(
+        {c: F.lit(9) for c in ("label", "labelled", "key", "toxic", "quality", "score", "toxicity")}
+    )
+    known = labels(spark, [(i, 1 - i % 2, i % 2) for i in range(80)])
+    long = documents(spark, "bad worse " * 200_000, None, "").withColumns(
+        {c: F.lit(9) for c in ("label", "score", "toxicity")}
+    )
+    good = quality.score(long, quality.fit(docs, known, bits=12)).orderBy("doc_id").collect()
+    tagged = toxicity.tag(long, toxicity.fit(docs, known, bits=12)).orderBy("doc_id").collect()
+    assert good[0]["score"] < 0.5 and good[1]["score"] == good[2]["score"] and good[0]["label"] == 9
+    assert tagged[0]["toxicity"]["score"] > 0.5 and tagged[1]["toxicity"]["spans"] == []
+
+
 # licenses
 
 

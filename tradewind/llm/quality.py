@@ -142,8 +142,9 @@ def fit(
     shares = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
     sample = F.broadcast(sample_by_label(usable, "labelled", "label", per_class))
     rows = (
-        docs.filter(F.col("text").isNotNull())
-        .join(sample, F.col(key) == F.col("labelled"))
+        docs.select(F.col(key).alias("key"), "text")
+        .filter(F.col("text").isNotNull())
+        .join(sample, F.col("key") == F.col("labelled"))
         .select("label", "text")
         .mapInPandas(_features(bits), "label int, bucket binary")
         .collect()
@@ -190,7 +191,10 @@ def score_texts(model: QualityModel, texts: "list[str]") -> np.ndarray:
 
 
 def score(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
-    """``docs`` with a column ``score``: how likely label 1 is. Null texts score like empty ones."""
+    """``docs`` with a column ``score``: how likely label 1 is. Null texts score like empty ones.
+
+    A column already named ``score`` is replaced; the others stay, repeated rows too.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

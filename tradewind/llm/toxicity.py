@@ -292,8 +292,9 @@ def fit(
     shares = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
     sample = F.broadcast(sample_by_label(usable, "labelled", "label", per_class))
     rows = (
-        docs.filter(F.col("text").isNotNull())
-        .join(sample, F.col(key) == F.col("labelled"))
+        docs.select(F.col(key).alias("key"), "text")
+        .filter(F.col("text").isNotNull())
+        .join(sample, F.col("key") == F.col("labelled"))
         .select("label", "text")
         .mapInPandas(_features(bits), "label int, feature binary")
         .collect()
@@ -357,7 +358,8 @@ def tag(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """``docs`` with a struct column ``toxicity``: ``score, spans`` (array of start, end).
 
     Null and empty texts have no words: no span, and the score the curve gives to that. Words of a
-    text form one chain, however long it is.
+    text form one chain, however long it is. A column already named ``toxicity`` is replaced; the
+    others stay, repeated rows too.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
