@@ -299,6 +299,55 @@ LLM_EXPECTED = {
         QUALIFY row_number() OVER w <= 20
     """,
     "op8_secrets": _secrets_expected(),
+    "op13_spelling": """
+        WITH RECURSIVE crc(t) AS (
+            SELECT list(list_reduce(list_prepend(i, range(8)),
+                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i)
+            FROM range(256) r(i)),
+        runs AS (
+            SELECT coalesce(doc_id::VARCHAR, '') AS name,
+                   unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')) AS run
+            FROM documents),
+        small AS (
+            SELECT name, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run,
+                   count(*) AS n
+            FROM runs GROUP BY 1, 2),
+        hashed AS (
+            SELECT run, n, xor(list_reduce(
+                list_prepend(4294967295, list_transform(range(1, strlen(name || ':' || run) + 1),
+                    lambda i: ('0x' || substr(hex(encode(name || ':' || run)), (2 * i - 1)::INT, 2))::BIGINT)),
+                lambda c, b: xor(t[((xor(c, b) & 255) + 1)::INT], c >> 8)), 4294967295) AS h
+            FROM small, crc),
+        cut AS (
+            SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT)
+                        || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
+            FROM hashed),
+        words AS (
+            SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        gaps AS (
+            SELECT word, n, p, substr(word, 1, (p - 1)::INT) || substr(word, (p + 1)::INT) AS rest
+            FROM words, range(1, length(word) + 1) r(p)),
+        near AS (
+            SELECT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b
+                ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.rest = b.word),
+        best AS (
+            SELECT word, count(*)::BIGINT AS n_near, max(other_n) AS best_n,
+                   min(other) FILTER (other_n = most) AS best
+            FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS most FROM near) GROUP BY word),
+        forms AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN best_n >= 10 * w.n THEN best END AS form,
+                   CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n
+            FROM words w LEFT JOIN best b ON w.word = b.word),
+        steps(word, here) AS (
+            SELECT word, word FROM forms
+            UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON s.here = f.word WHERE f.form IS NOT NULL),
+        roots AS (
+            SELECT s.word, s.here AS root FROM steps s JOIN forms f ON s.here = f.word WHERE f.form IS NULL)
+        SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN roots r ON f.word = r.word
+    """,
     "op11_filter_audit": """
         WITH texts AS (
             SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
