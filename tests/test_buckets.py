@@ -11,10 +11,10 @@ from tradewind.operators import increments
 from tradewind.operators.marts import customer_360, daily_revenue_channel, inventory_turnover
 from tradewind.operators.quality import QualityGateError
 from tradewind.plans import gold as G
-from tradewind.plans.silver import SILVER
+from tradewind.plans.silver import SILVER_TABLES
 from tradewind.sinks import buckets as B
 
-ORDERS, ITEMS, PRODUCTS = SILVER
+ORDERS, ITEMS, PRODUCTS = SILVER_TABLES
 BUCKETS = 8
 
 
@@ -46,7 +46,7 @@ def lake(spark, tmp_path):
     name = f"b{uuid.uuid4().hex[:8]}"
 
     def load(version, orders=(), items=()):
-        base = B.ensure_buckets(spark, name, SILVER, BUCKETS, str(tmp_path))
+        base = B.ensure_buckets(spark, name, SILVER_TABLES, BUCKETS, str(tmp_path))
         staged, warnings = {}, []
         for t, rows in ((ORDERS, orders), (ITEMS, items)):
             staged[t.name], found = B.stage_merge(base, t, rows_of(spark, t.schema, rows), version)

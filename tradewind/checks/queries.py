@@ -15,7 +15,7 @@ from tradewind.operators.dedupe import dedupe_latest, duplicate_keys
 from tradewind.operators.upsert import upsert_table
 from tradewind.plans.bronze import channel_rows
 from tradewind.plans.gold import refresh_gold
-from tradewind.plans.silver import SILVER
+from tradewind.plans.silver import SILVER_TABLES
 from tradewind.sinks import commit, ensure_buckets, ensure_table, publish, shared_dir, stage_merge
 from tradewind.sources import split_recognised, stamp
 from tradewind.streaming import stream_append, stream_pos
@@ -364,7 +364,7 @@ def _lake_loads(spark: SparkSession, sf_dir: str, after_first=lambda silver: Non
     The second load moves the pending orders to the next day and to another customer.
     """
     silver = "lake_" + shared_dir(spark, "lake").rsplit("-", 1)[1]
-    tables = [t for t in SILVER if t.name != "products"]
+    tables = [t for t in SILVER_TABLES if t.name != "products"]
     orders, items = T.orders(spark, sf_dir), T.items(spark, sf_dir).drop("tax_amount")
     pending = F.col("payment_status") == "P"
     moved = _batch(orders, "created_at").withColumns(
