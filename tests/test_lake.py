@@ -227,3 +227,22 @@ def test_a_back_dated_run_reads_no_later_snapshot(spark, tmp_path):
     # nothing within the time to live
     early = snapshots(spark, str(tmp_path), view, datetime(2025, 12, 31))
     assert FE.materialize(early, view, datetime(2025, 12, 31)).count() == 0
+
+
+def test_product_features_are_as_of_the_last_sale(spark):
+    mart = spark.createDataFrame(
+        [
+            ("2026-05-01", "a", "Old", 1, 1.5),
+            ("2026-05-20", "a", "New", 2, 2.25),
+            ("2026-01-01", "b", "Stale", 4, 4.0),
+            ("2026-06-09", "c", "Later", 8, 8.0),
+        ],
+        "sales_date string, sku string, product_title string, units_sold long, total_sales_amount double",
+    )
+    end = datetime(2026, 6, 1)
+    sold = FE.product_snapshot(mart, end)
+    rows = FE.materialize(sold, FE.PRODUCT_FEATURES, end).collect()
+    # b was last sold before the 90 days, c after the end
+    assert [tuple(r) for r in rows] == [("a", "New", 3, 3.75, datetime(2026, 5, 20), end)]
+    state = FE.materialize(FE.product_snapshot(mart, end, end), FE.PRODUCT_FEATURES, end)
+    assert {(r["sku"], r["event_timestamp"]) for r in state.collect()} == {(s, end) for s in "abc"}

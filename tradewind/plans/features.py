@@ -36,7 +36,7 @@ def materialize_features(
     """
     sources = {
         CUSTOMER_FEATURES: customer_snapshot(load_table(spark, "gold.customer_360"), end),
-        PRODUCT_FEATURES: product_snapshot(load_table(spark, "gold.inventory_turnover"), end),
+        PRODUCT_FEATURES: product_snapshot(load_table(spark, "gold.inventory_turnover"), end, end),
     }
     spark.sql("CREATE SCHEMA IF NOT EXISTS online")
     for view, snapshot in sources.items():
