@@ -198,3 +198,18 @@ def test_a_placeholder_never_replaces_a_title(spark):
     new = [("A", "A", 2.0), ("B", "B", 2.0), ("C", "C", 2.0), ("D", "D", 2.0), (None, None, 2.0)]
     found = keep_real_titles(spark.createDataFrame([*new, ("A2", "Hat", 2.0)], kind), current)
     assert sorted(str(r["sku"]) for r in found.collect()) == ["A2", "B", "C", "D", "None"]
+
+
+def test_bronze_records_are_not_sorted_before_the_shuffle(spark, tmp_path):
+    rows = [(None, 1, "a", 1), (None, 2, "a", 2), ("k", 1, "b", 3), ("k", 1, "a", 9), ("k", 1, "b", 4), ("m", 0, None, 5)]
+    spark.createDataFrame(rows, "id string, at int, file string, v int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    whole = dedupe_latest(df, ["id"], ["at", "file"], trim_first=False)
+    text = plan(whole)
+    assert text.count("Exchange") == 1 and "Sort" not in text[text.index("Exchange") :]
+    expected = [(None, 2, "a", 2), ("k", 1, "b", 4), ("m", 0, None, 5)]
+    for found in (whole, dedupe_latest(df, ["id"], ["at", "file"])):
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    for name in ("conform_pos_items", "conform_pos_orders", "conform_amazon_items", "conform_amazon_orders"):
+        text = plan(QUERIES[name](spark, SF_DIR))
+        assert "Sort" not in text[text.index("Exchange") :]
