@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests import drops as D
 from tradewind.functions import route_decoded, split_decoded
 from tradewind.plans import bronze_table, channel_rows, ingest_batch, ingest_stream
+from tradewind.plans.bronze import distributor_documents
 from tradewind.schemas import DISTRIBUTOR_ROW, POS_TRANSACTION
 from tradewind.sources import drop_documents, read_shopify, split_recognised
 from tradewind.sources.drops import FILE
@@ -352,3 +353,23 @@ def test_quoted_fields_keep_line_breaks_and_quotes(spark, tmp_path):
     assert got["d2"] == '5" pipe' and got["d3"] == long and len(got) == 3
     with pytest.raises(ValueError, match="whole files"):
         ingest_stream(spark, "distributor", str(tmp_path), "t", "c", whole_files=False)
+
+
+def test_line_drops_are_parsed_once_and_not_shuffled(spark, tmp_path):
+    names = [f.name for f in DISTRIBUTOR_ROW.fields]
+    row = dict.fromkeys(names, "1") | {"TransactionID": "t", "InvoiceDate": "2026-07-01"}
+    for n, (order, line) in enumerate([(names, row), (names[::-1], row | {"TransactionID": "u", "Quantity": "two"})]):
+        lines = [",".join(order), ",".join(line[c] for c in order), '"' + " ".join(names) + '",x']
+        (tmp_path / f"{n}.csv").write_text("\r\n".join(lines) + "\r\n")
+    (tmp_path / "2.csv").write_text("TransactionID,SKU\nv,1\n")
+    got = distributor_documents(drop_documents(spark, str(tmp_path), False, "*.csv"), False)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and text.count("from_csv(") == 1
+    rows = {(r["_file"], r["TransactionID"], r["dead_errors"][0]["error"] if r["dead_errors"] else None) for r in got.collect()}
+    assert rows == {
+        ("0.csv", "t", None),
+        ("0.csv", None, "number of fields"),
+        ("1.csv", None, "Quantity: type"),
+        ("1.csv", None, "number of fields"),
+        ("2.csv", None, "header"),
+    }

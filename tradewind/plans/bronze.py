@@ -5,6 +5,9 @@ under a ``route``: typed rows as ``accepted``; a document that breaks its contra
 envelope or does not parse as ``dead_letter`` with its text. One pass, one exactly-once sink.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,48 +127,67 @@ _FIELD = '(?:"(?:[^"]++|"")*+"[^,\\n]*+|[^,\\n]*+)'
 _RECORD = f"({_FIELD}(?:,{_FIELD})*+)"
 
 
+def _bare(line: "str | Column") -> Column:
+    """A line without the carriage return it may end with; the others are not searched for one."""
+    line = F.col(line) if isinstance(line, str) else line
+    return F.when(F.contains(line, F.lit("\r")), F.regexp_replace(line, "\\r$", "")).otherwise(line)
+
+
 def _header_of(record: Column) -> Column:
-    """The names in a header, null if they are not those of the channel, in any order."""
+    """The names in a header, null if they are not those of the channel, in any order.
+
+    Only a text that holds every name is split and looked at.
+    """
     names = F.array(*[F.lit(n) for n in sorted(S.DISTRIBUTOR_ROW.fieldNames())])
     found = F.transform(
         F.split(F.regexp_replace(record, "^\\uFEFF|\\r$", ""), ","),
         lambda n: F.regexp_replace(F.trim(n), '^"|"$', ""),
     )
-    return F.when(F.array_sort(found) == names, found)
+    holds = reduce(and_, (F.contains(record, F.lit(n)) for n in S.DISTRIBUTOR_ROW.fieldNames()))
+    return F.when(holds, F.when(F.array_sort(found) == names, found))
+
+
+def _places_in(header: Column) -> Column:
+    """Where a header has each field, in the order of the schema; null without a header."""
+    places = [F.array_position(header, F.lit(n)).cast("int") - 1 for n in S.DISTRIBUTOR_ROW.fieldNames()]
+    return F.when(header.isNotNull(), F.array(*places))
 
 
 def _records_of_files(documents: DataFrame) -> DataFrame:
-    """``_file, _header, _line`` of whole files; a file with another header is one line without one."""
+    """``_file, _at, _line`` of whole files; a file with another header is one line without places."""
     records = F.filter(
         F.regexp_extract_all(F.regexp_replace("text", "^\\uFEFF", ""), F.lit(_RECORD), F.lit(1)),
         lambda r: F.trim(F.regexp_replace(r, "\\r$", "")) != "",
     )
     rows = documents.select(F.col("file").alias("_file"), "text", records.alias("_records"))
     rows = rows.withColumn("_header", _header_of(F.get("_records", F.lit(0))))
-    known = F.col("_header").isNotNull()
+    rows = rows.withColumn("_at", _places_in(F.col("_header")))
+    known = F.col("_at").isNotNull()
     lines = F.when(known, F.slice("_records", 2, F.greatest(F.size("_records"), F.lit(1))))
     return rows.select(
-        "_file", "_header", F.explode(lines.otherwise(F.array(F.coalesce("text", F.lit(""))))).alias("_line")
+        "_file", "_at", F.explode(lines.otherwise(F.array(F.coalesce("text", F.lit(""))))).alias("_line")
     )
 
 
 def _records_of_lines(lines: DataFrame) -> DataFrame:
-    """``_file, _header, _line`` of lines, each with the header its file has anywhere.
+    """``_file, _at, _line`` of lines, each with the places of the header its file has anywhere.
 
-    Files are split freely, so the header is found by its names and joined to the file's lines; the
-    list has one row a file. A file without a header, or with two that differ, has none.
+    Files are split freely, so the header is found by its names and joined to the file's lines. The
+    list has one row of numbers a file, for files the driver has listed; it is broadcast, as the
+    lines would else be shuffled by file. A file without a header, or with two that differ, has none.
     """
     rows = lines.select(F.col("file").alias("_file"), F.col("text").alias("_line"))
-    rows = rows.filter(F.trim(F.regexp_replace("_line", "\\r$", "")) != "")
+    rows = rows.filter(F.trim(_bare("_line")) != "")
     headers = (
         rows.select("_file", _header_of(F.col("_line")).alias("_found"))
         .filter(F.col("_found").isNotNull())
         .groupBy("_file")
         .agg(F.min("_found").alias("_least"), F.max("_found").alias("_most"))
-        .select("_file", F.when(F.col("_least") == F.col("_most"), F.col("_least")).alias("_header"))
+        .filter(F.col("_least") == F.col("_most"))
+        .select("_file", _places_in(F.col("_least")).alias("_at"))
     )
     data = rows.filter(_header_of(F.col("_line")).isNull())
-    return split_join(data, headers, ["_file"], "left")
+    return split_join(data, F.broadcast(headers), ["_file"], "left")
 
 
 def distributor_documents(documents: DataFrame, whole_files: bool = True) -> DataFrame:
@@ -180,24 +202,20 @@ def distributor_documents(documents: DataFrame, whole_files: bool = True) -> Dat
     places = [f"_{i}" for i in range(len(fields))]
     schema = ", ".join([f"{p} string" for p in places] + ["_corrupt string"])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "escape": '"'}
-    parsed = F.from_csv(F.regexp_replace("_line", "\\r$", ""), schema, options)
+    known = F.col("_at").isNotNull()
+    parsed = F.from_csv(_bare("_line"), schema, options)
 
     def named(row: Column) -> Column:
         """The texts of a record by name, and whether it has as many fields as there are names."""
         values = F.array(*[row[p] for p in places])
-        texts = [
-            F.get(values, F.array_position("_header", F.lit(f.name)).cast("int") - 1).alias(f.name)
-            for f in fields
-        ]
+        texts = [F.get(values, F.get("_at", F.lit(i))).alias(f.name) for i, f in enumerate(fields)]
         return F.struct(*texts, row["_corrupt"].isNull().alias("_whole"))
 
     # the lambda binds the parsed record, so a line is parsed once
-    rows = rows.withColumn(
-        "_text", F.when(F.col("_header").isNotNull(), F.transform(F.array(parsed), named)[0])
-    ).select(
+    rows = rows.withColumn("_text", F.when(known, F.transform(F.array(parsed), named)[0])).select(
         "_file",
         "_line",
-        "_header",
+        "_at",
         "_text",
         F.struct(*[F.col(f"_text.{f.name}").try_cast(f.dataType).alias(f.name) for f in fields]).alias("_data"),
     )
@@ -209,7 +227,7 @@ def distributor_documents(documents: DataFrame, whole_files: bool = True) -> Dat
         for f in fields
     ]
     errors = (
-        F.when(F.col("_header").isNull(), F.array(reason(None, "header")))
+        F.when(~known, F.array(reason(None, "header")))
         .when(~F.col("_text._whole"), F.array(reason(None, "number of fields")))
         .when(F.col("_text.TransactionID").isNull(), F.array(reason(None, "TransactionID: missing")))
         .otherwise(F.array_compact(F.array(*mistyped)))
