@@ -227,3 +227,11 @@ def test_gold_rebuilds_if_its_former_state_is_gone(spark, lake):
     assert state(spark, gold, (G.DAILY,))[G.DAILY] == marts_of(spark, name)[G.DAILY]
     G.refresh_gold(spark, "3", silver=name, gold=gold, full=True)
     assert state(spark, gold, (G.DAILY,))[G.DAILY] == marts_of(spark, name)[G.DAILY]
+
+
+def test_a_batch_is_placed_without_a_shuffle(spark):
+    rows = spark.range(0, 300, 1, 3)
+    placed = B._placed(rows, ["id"], 4, "placed")
+    assert len(placed.inputFiles()) == 3
+    expected = rows.withColumn("_bucket", B.bucket_of(["id"], 4))
+    assert sorted(map(tuple, placed.collect())) == sorted(map(tuple, expected.collect()))
