@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -794,3 +795,30 @@ def test_phrases_and_words(spark):
 
 def test_content_address():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_a_task_takes_texts_in_parts(monkeypatch):
+    """What a worker holds of its texts' arrays is bounded; the parts give what the whole gives."""
+    rng = np.random.default_rng(3)
+    words = np.array(["ab", "cde", "fghi", "j"])
+    texts = [" ".join(rng.choice(words, n)) for n in (9, 0, 300, 2, 40, 300, 300)]
+    frame = pd.DataFrame({"key": [str(i) for i in range(len(texts))], "id": range(len(texts)), "text": texts})
+    label = ["x", "y", "x", "y", "x", "y", "x"]
+    counted = pd.concat(langid._counts(10)(iter([pd.DataFrame({"text": texts, "label": label})])))
+    model = langid.train(list(zip(counted["label"], counted["bucket"], counted["n"])), 10, 4, 2, 1)
+
+    def results():
+        sketch = list(neardup._sketch(3, 16)(iter([frame])))
+        sets = list(neardup._sets(3)(iter([frame])))
+        return sketch, sets, langid.score_texts(model, texts)
+
+    whole = results()
+    monkeypatch.setattr(neardup, "SENT_CHARS", 500)
+    monkeypatch.setattr(neardup, "TASK_CHARS", 50)
+    monkeypatch.setattr(langid, "TASK_CHARS", 50)
+    parts = results()
+    assert len(whole[0]) == len(whole[1]) == 1 and len(parts[0]) > 2 and len(parts[1]) > 2
+    for before, after in zip(whole[:2], parts[:2]):
+        before, after = pd.concat(before), pd.concat(after)
+        assert [*map(str, before.to_dict("list").values())] == [*map(str, after.to_dict("list").values())]
+    assert all((a == b).all() for a, b in zip(whole[2], parts[2]))

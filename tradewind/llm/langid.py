@@ -37,6 +37,8 @@ GRAMS = (2, 3, 4)
 EPOCHS = 6
 RATE = 0.5
 HELD_BACK = 5
+# characters of the texts that a task looks at together: its arrays are some dozen times as large
+TASK_CHARS = 1 << 17
 # of documents like the sample's, at most this share is rejected
 REJECT_SHARE = 0.001
 
@@ -259,7 +261,7 @@ def score_texts(model: LanguageModel, texts: "list[str]") -> "tuple[np.ndarray,
     """(place of the likeliest language or -1, its probability weighed with the text's familiarity)."""
     place = np.full(len(texts), -1)
     score = np.zeros(len(texts))
-    for begin, end in V.batches(texts):
+    for begin, end in V.batches(texts, TASK_CHARS):
         n = end - begin
         if not model.languages:
             break

@@ -41,6 +41,10 @@ DEEPER = (8, 16)
 LARGE = 8
 # members of a region whose order is looked at together
 STRETCH = 4096
+# characters of the texts that a task looks at together, and of those it sends together: its arrays
+# are some dozen times as large, and a worker keeps what it once took
+TASK_CHARS = 1 << 17
+SENT_CHARS = 1 << 20
 # signatures agree in fewer values than this share only if the sets are far from the threshold:
 # five standard deviations
 _MARGIN = 5.0
@@ -52,7 +56,7 @@ def shingle_sets(texts: "list[str]", words: int) -> "list[np.ndarray]":
     A-Z count as a-z. A text with fewer words than a shingle is one shingle; without words it has none.
     """
     out = []
-    for begin, end in V.batches(texts):
+    for begin, end in V.batches(texts, TASK_CHARS):
         points, at = V.code_points(texts[begin:end])
         start, stop = V.runs(~V.is_blank(points), at)
         word = V.run_hashes(V.mixed(V.lower_ascii(points)), start, stop)
@@ -89,30 +93,35 @@ def signatures(sets: "list[np.ndarray]", values: int = VALUES) -> np.ndarray:
 
 
 def _sketch(words: int, values: int):
+    def part(key: pd.Series, texts: "list[str]") -> pd.DataFrame:
+        sets = shingle_sets(texts, words)
+        some = [i for i, s in enumerate(sets) if len(s)]
+        signed: "list" = [None] * len(sets)
+        left: "list" = [None] * len(sets)
+        right: "list" = [None] * len(sets)
+        if some:
+            of = signatures([sets[i] for i in some], values).view(np.int32)
+            for k, i in enumerate(some):
+                signed[i] = of[k]
+                # equal sets have equal sums; 128 bits tell all others apart
+                spread = V.mix(sets[i])
+                left[i] = int(spread.sum().view(np.int64))
+                right[i] = int(V.mix(spread ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum().view(np.int64))
+        return pd.DataFrame(
+            {
+                "key": key.to_numpy(),
+                "n_shingles": [len(s) for s in sets],
+                "left": pd.array(left, dtype="Int64"),
+                "right": pd.array(right, dtype="Int64"),
+                "signature": signed,
+            }
+        )
+
     def run(frames: "Iterator[pd.DataFrame]") -> "Iterator[pd.DataFrame]":
         for frame in frames:
-            sets = shingle_sets(frame["text"].fillna("").tolist(), words)
-            some = [i for i, s in enumerate(sets) if len(s)]
-            signed: "list" = [None] * len(sets)
-            left: "list" = [None] * len(sets)
-            right: "list" = [None] * len(sets)
-            if some:
-                of = signatures([sets[i] for i in some], values).view(np.int32)
-                for k, i in enumerate(some):
-                    signed[i] = of[k]
-                    # equal sets have equal sums; 128 bits tell all others apart
-                    spread = V.mix(sets[i])
-                    left[i] = int(spread.sum().view(np.int64))
-                    right[i] = int(V.mix(spread ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum().view(np.int64))
-            yield pd.DataFrame(
-                {
-                    "key": frame["key"],
-                    "n_shingles": [len(s) for s in sets],
-                    "left": pd.array(left, dtype="Int64"),
-                    "right": pd.array(right, dtype="Int64"),
-                    "signature": signed,
-                }
-            )
+            texts = frame["text"].fillna("").tolist()
+            for begin, end in V.batches(texts, SENT_CHARS):
+                yield part(frame["key"].iloc[begin:end], texts[begin:end])
 
     return run
 
@@ -120,8 +129,12 @@ def _sketch(words: int, values: int):
 def _sets(words: int):
     def run(frames: "Iterator[pd.DataFrame]") -> "Iterator[pd.DataFrame]":
         for frame in frames:
-            sets = shingle_sets(frame["text"].fillna("").tolist(), words)
-            yield pd.DataFrame({"id": frame["id"], "set": [s.tobytes() for s in sets]})
+            texts = frame["text"].fillna("").tolist()
+            for begin, end in V.batches(texts, SENT_CHARS):
+                sets = shingle_sets(texts[begin:end], words)
+                yield pd.DataFrame(
+                    {"id": frame["id"].iloc[begin:end].to_numpy(), "set": [s.tobytes() for s in sets]}
+                )
 
     return run
 
