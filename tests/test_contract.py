@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests import drops as D
 from tradewind.operators import contract as C
@@ -146,3 +147,50 @@ def test_a_document_beyond_the_variant_size(spark):
     clean, quarantined = C.route_files(documents)
     assert [r["file"] for r in clean.select("file").collect()] == ["f0"]
     assert quarantined.count() == 2
+
+
+def test_one_look_decides_what_field_by_field_does(spark):
+    """A record that keeps the contract is passed by one look; any other one is left to the fields."""
+    fields = (C.Field("a.b"), C.Field("mail", pattern="x+"), C.Field("o", C.OBJECT, True), C.Field("it`s"))
+    good = {"a.b": "1", "mail": "xx", "o": {"k": 1}, "it`s": "", "more": 1}
+    nodes = [
+        ({"node": good}, True),
+        ({"node": good | {"mail": "y"}}, False),
+        ({"node": good | {"a.b": 1}}, False),
+        ({"node": good | {"o": "1"}}, False),
+        ({"node": good | {"o": None}}, False),
+        ({"node": {k: v for k, v in good.items() if k != "it`s"}}, True),
+        ({"node": []}, False),
+        ({}, False),
+        (1, False),
+    ]
+    rows = spark.createDataFrame([(i, json.dumps(n)) for i, (n, _) in enumerate(nodes)], "i int, edge string")
+    edge = F.try_parse_json("edge")
+    got = rows.select("i", C.contract_errors(edge, fields).alias("e"), C._keeps(edge, fields).alias("k"))
+    for row in got.orderBy("i").collect():
+        sound = not row["e"]
+        assert sound == nodes[row["i"]][1]
+        assert not row["k"] or sound
+    assert got.filter("i = 0").first()["k"]
+    none = rows.filter("i > 5").select(C.contract_errors(edge, ()).alias("e")).collect()
+    assert [len(r["e"]) for r in none] == [1, 0, 1]
+
+
+def test_a_document_is_read_alike_once_it_is_known_to_be_one(spark):
+    from tradewind import schemas as S
+    from tradewind.functions.payload import known_json, strict_json
+    from tradewind.plans.bronze import shopify_bronze
+
+    edges = [{"node": {"id": "1", "lineItems": {"edges": 5}, "customer": {"id": {"x": [1.50]}}}}, {}, None]
+    texts = [
+        json.dumps({"data": {"orders": {"edges": edges}}}),
+        json.dumps({"data": {"orders": {"edges": [{"node": 1}, {"node": {"tags": "no list", "id": 1.0}}]}}}),
+        json.dumps({"data": {"orders": {"edges": []}}}) + " \n",
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    text = F.col("text")
+    got = rows.select(strict_json(text, S.SHOPIFY_DROP).alias("s"), known_json(text, S.SHOPIFY_DROP).alias("k"))
+    assert all(r["s"] == r["k"] for r in got.collect())
+    # the text's hash is made once for each look at its end: for its edges, and where it has none
+    plan = shopify_bronze(rows.withColumn("file", F.lit("f")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("sha2(") == 2

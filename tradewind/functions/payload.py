@@ -19,18 +19,21 @@ def reason(record: "Column | None", error: "Column | str") -> Column:
 _END = "__end__"
 
 
-def _one_value(text: Column, schema: T.DataType, mark: Column, last, value) -> Column:
+def _one_value(text: Column, schema: T.DataType, mark, last, value) -> Column:
     """``value`` of the first of two list elements, if the text and an end mark are all of the list.
 
     A plain parse stops after the first value and says nothing of what follows, so the text is read
     as ``[text, mark]``. A text that closes the list early leaves one element, a second value makes
-    three, and a text can't hold the mark itself, which is made from its SHA-256. The list is parsed
-    once: the lambda binds it.
+    three, and a text can't hold the mark itself, which is made from its SHA-256. That is computed and
+    the list parsed once: the lambdas bind them.
     """
-    listed = F.from_json(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")), T.ArrayType(schema))
-    bound = F.array(F.struct(listed.alias("list"), F.sha2(text, 256).alias("end")))
+
+    def listed(end: Column) -> Column:
+        both = F.concat(F.lit("["), text, F.lit(","), mark(end), F.lit("]"))
+        return F.struct(F.from_json(both, T.ArrayType(schema)).alias("list"), end.alias("end"))
+
     return F.transform(
-        bound,
+        F.transform(F.array(F.sha2(text, 256)), listed),
         lambda b: F.when(
             (F.size(b["list"]) == 2) & last(F.get(b["list"], F.lit(1))).eqNullSafe(b["end"]),
             value(F.get(b["list"], F.lit(0))),
@@ -38,29 +41,46 @@ def _one_value(text: Column, schema: T.DataType, mark: Column, last, value) -> C
     )[0]
 
 
+def _end_record(end: Column) -> Column:
+    return F.concat(F.lit(f'{{"{_END}":"'), end, F.lit('"}'))
+
+
 def strict_json(text: Column, schema: "T.StructType | T.ArrayType") -> Column:
     """The one JSON value a text holds; null if it holds none, several, or anything after it.
 
     ``schema`` is an object or a list of objects.
     """
-    end = F.concat(F.lit(f'{{"{_END}":"'), F.sha2(text, 256), F.lit('"}'))
     if isinstance(schema, T.StructType):
         marked = T.StructType([*schema.fields, T.StructField(_END, T.StringType())])
-        return _one_value(text, marked, end, lambda x: x[_END], lambda x: x.dropFields(_END))
+        return _one_value(text, marked, _end_record, lambda x: x[_END], lambda x: x.dropFields(_END))
     marked = T.StructType([*schema.elementType.fields, T.StructField(_END, T.StringType())])
     return _one_value(
         text,
         T.ArrayType(marked),
-        F.concat(F.lit("["), end, F.lit("]")),
+        lambda end: F.concat(F.lit("["), _end_record(end), F.lit("]")),
         lambda x: F.get(x, F.lit(0))[_END],
         lambda x: F.transform(x, lambda r: r.dropFields(_END)),
     )
 
 
+def known_json(text: Column, schema: T.StructType) -> Column:
+    """The JSON object in a text that is known to hold one value; what it gives for others is not told.
+
+    As in ``strict_json`` it is read as a list element, so both read an object alike.
+    """
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema))
+    return F.get(listed, F.lit(0))
+
+
 def is_json(text: Column) -> Column:
     """True if a text is one JSON value of any kind."""
-    end = F.concat(F.lit('"'), F.sha2(text, 256), F.lit('"'))
-    found = _one_value(text, T.StringType(), end, lambda x: x, lambda x: F.lit(True))
+    found = _one_value(
+        text,
+        T.StringType(),
+        lambda end: F.concat(F.lit('"'), end, F.lit('"')),
+        lambda x: x,
+        lambda x: F.lit(True),
+    )
     return F.coalesce(found, F.lit(False))
 
 

@@ -8,6 +8,8 @@ shuffle to be accepted or set aside. Files that hold many documents roll up by f
 """
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,19 +88,53 @@ def _problem(edge: Column, field: Field) -> Column:
     )
 
 
+def _keeps(edge: Column, contract) -> Column:
+    """True if all fields are there, sound and of their types: one look at the record for all of them.
+
+    Otherwise false or null, and so too for a contract with a field of another type than text or object,
+    or a field twice.
+    """
+    names = [f.name for f in contract]
+    if len({n.lower() for n in names}) < len(names) or any(f.type not in (STRING, OBJECT) for f in contract):
+        return F.lit(False)
+    kinds = {STRING: "variant", OBJECT: "struct<>"}
+    quoted = ["`" + f.name.replace("`", "``") + "`: " + kinds[f.type] for f in contract]
+    wanted = f"struct<{', '.join(quoted)}>"
+
+    def sound(node: Column) -> Column:
+        tests = [node.isNotNull()]
+        for field in contract:
+            value = node[field.name]
+            if field.type == OBJECT:
+                tests.append(value.isNotNull())
+                continue
+            tests.append(F.schema_of_variant(value) == "STRING")
+            if field.pattern:
+                tests.append(F.try_variant_get(value, "$", "string").rlike(f"^(?:{field.pattern})"))
+        return reduce(and_, tests)
+
+    # the lambda binds the fields
+    node = F.try_variant_get(edge, "$['node']", wanted)
+    return F.transform(F.array(node), sound)[0]
+
+
 def contract_errors(edge: Column, contract=SHOPIFY_CONTRACT) -> Column:
     """All errors of the record in an edge, in contract order.
 
     An edge without ``node`` holds an empty record. An edge or a node that is no object is one
-    error.
+    error. Only a record that doesn't plainly keep the contract is looked at field by field.
     """
     is_edge = F.try_variant_get(edge, "$", "struct<>").isNotNull()
     has_record = F.try_variant_get(edge, "$['node']", "struct<>").isNotNull()
     no_record = is_edge & F.try_variant_get(edge, "$['node']", "variant").isNull()
-    return F.when(
-        has_record | no_record,
-        F.array_compact(F.array(*(_problem(edge, field) for field in contract))),
-    ).otherwise(F.array(F.lit("node: type")))
+    return (
+        F.when(_keeps(edge, contract), F.array().cast("array<string>"))
+        .when(
+            has_record | no_record,
+            F.array_compact(F.array(*(_problem(edge, field) for field in contract))),
+        )
+        .otherwise(F.array(F.lit("node: type")))
+    )
 
 
 def _edges(text: Column) -> Column:
