@@ -1,7 +1,9 @@
 """Bucketed tables: what a run writes, what readers see, and marts that follow changes."""
 
+import time
 import uuid
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -235,3 +237,49 @@ def test_a_batch_is_placed_without_a_shuffle(spark):
     assert len(placed.inputFiles()) == 3
     expected = rows.withColumn("_bucket", B.bucket_of(["id"], 4))
     assert sorted(map(tuple, placed.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = disk.getAllFiles()
+    return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+
+def test_steps_leave_neither_their_shuffle_files_nor_their_batch(spark, lake, tmp_path):
+    load, name = lake
+    gold = f"{name}_gold"
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+
+    def left():
+        return {p.name for p in shared.glob("*") if p.name.startswith(("merge-", "replace-"))}
+
+    files, folders = shuffle_files(spark), left()
+    for version, day in (("1", 1), ("2", 2)):
+        load(version, [order(i, day) for i in range(60)], [item(i) for i in range(60)])
+        G.refresh_gold(spark, version, silver=name, gold=gold, buckets=BUCKETS)
+    assert left() <= folders
+    until = time.time() + 20
+    while shuffle_files(spark) - files and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - files
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert state(spark, gold, (G.INVENTORY,)) == {G.INVENTORY: marts_of(spark, name)[G.INVENTORY]}
+
+
+def test_touched_groups_are_told_without_a_join_of_the_mart(spark, monkeypatch):
+    orders = rows_of(spark, S.SILVER_ORDERS, [order(i, 1 + i % 9) for i in range(90)] + [order(97, created_at=None)])
+    items = [item(i, n) for i in range(90) for n in (1, 2)]
+    odd = [item(3, 8, sku=None), item(97, 1, sku="S1"), item(4, 9, sku="S1", title=None), item(998, 1)]
+    items = rows_of(spark, S.SILVER_ORDER_ITEMS, items + odd)
+    keys = [("2026-01-04", "S1"), ("2026-01-04", None), (None, "S1"), ("2026-01-05", "S4"), ("2027-01-01", "S1"), ("2026-01-05", "none")]
+    touched = spark.createDataFrame(keys, "sales_date string, sku string")
+    whole = inventory_turnover(items, orders).collect()
+    expected = sorted(str(r) for r in whole if (r["sales_date"], r["sku"]) in keys)
+    used, mart = [], increments.inventory_turnover
+    monkeypatch.setattr(increments, "inventory_turnover", lambda *a: (used.append(a), mart(*a))[1])
+    found = increments.inventory_of(items, orders, touched)
+    assert sorted(map(str, found.collect())) == expected and len(expected) == 4
+    # orders are cut to the days, and no row of the mart meets the keys in a join
+    assert used[0][1].count() == 21
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan[: plan.index("Aggregate", plan.index("Aggregate") + 1)]
