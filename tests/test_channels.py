@@ -62,7 +62,7 @@ def test_items_keyed_after_they_were_written_are_the_same(feeds):
         assert found.columns == whole.columns and plain(found) == plain(whole)
 
 
-@pytest.mark.parametrize("name", ["union_channels", "union_items"])
+@pytest.mark.parametrize("name", ["union_channels", "union_items", "union_products"])
 def test_large_feeds_are_taken_in_parts(spark, monkeypatch, name):
     expected = plain(QUERIES[name](spark, SF_DIR))
     seen, written = [], channels.written
